@@ -1,0 +1,314 @@
+"""Registered queries for regression, tuning, selection and stored models."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marquee.lake import LakePaths
+from marquee.operators.encode import split_train_test
+from marquee.operators.setops import union_all
+from marquee.plans import modeling as ml
+from marquee.session import scratch_path, stage
+from marquee.sources import models as store
+from workload import fixture as fx
+from workload.encode_queries import BUCKET_SQL, PREFIXES
+from workload.fixture import over_catalog
+from workload.registry import register
+
+METRICS = ("rmse", "mae", "mse", "r2")
+LABEL = ml.LABEL
+
+
+def model_data(spark: SparkSession, sf_dir: str) -> tuple[ml.ModelFrame, DataFrame, DataFrame]:
+    """Model frame, training and test rows, over a staged narrow table.
+
+    Few overviews are known in this catalogue and the assembler refuses NULLs,
+    so an unknown overview has length 0.
+    """
+    movies = fx.processed_twice_read(
+        spark,
+        sf_dir,
+        (
+            "id",
+            "genre_ids",
+            "original_language",
+            "overview",
+            "release_date",
+            "title",
+            "original_title",
+            "vote_average",
+            "vote_count",
+        ),
+    )
+    known = movies.withColumn("overview_length", F.coalesce("overview_length", F.lit(0))).select(
+        "id",
+        LABEL,
+        ml.CATEGORY,
+        *(c for c in ml.NUMERIC_FEATURES if c != ml.CATEGORY_INDEX),
+        *ml.ENCODED,
+    )
+    frame = ml.build_model_frame(stage(known, "processed"), prefixes=PREFIXES)
+    inputs = [c for c in frame.features() if c != ml.CATEGORY_INDEX]
+    rows = stage(frame.rows.select("id", LABEL, ml.CATEGORY, *inputs), "model_frame")
+    frame = ml.ModelFrame(rows, frame.encoded)
+    return frame, *split_train_test(rows)
+
+
+def _pipeline(frame: ml.ModelFrame, name: str, leak_free: bool = False) -> Pipeline:
+    stages = ml.preparation(frame.features(leak_free))
+    return ml.create_pipeline(stages, ml.regressors()[name])
+
+
+def _scores(spark: SparkSession, rows: list[tuple[str, str, dict[str, float]]]) -> DataFrame:
+    return spark.createDataFrame(
+        [(model, features, *(scores[m] for m in METRICS)) for model, features, scores in rows],
+        "model string, features string, " + ", ".join(f"{m} double" for m in METRICS),
+    )
+
+
+def _register_model(name: str) -> None:
+    """Held-out scores with and without the label's own bucket as a feature."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame, train, test = model_data(spark, sf_dir)
+        rows = []
+        for features, leak_free in (("all", False), ("leak_free", True)):
+            fitted = ml.train_and_evaluate(name, _pipeline(frame, name, leak_free), train, test)
+            rows.append((name, features, fitted.metrics))
+        return _scores(spark, rows)
+
+    register(f"ml_{name}")(run)
+
+
+for _name in ("linear", "tree", "gbt", "forest", "fm"):
+    _register_model(_name)
+
+
+def _register_search(name: str) -> None:
+    """Mean rmse of every grid point, and which point won."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame, train, test = model_data(spark, sf_dir)
+        regressor = ml.regressors()[name]
+        values, folds = ml.GRIDS[name]
+        fitted = ml.tune(
+            name,
+            ml.preparation(frame.features()),
+            regressor,
+            ml.param_grid(regressor, values),
+            train,
+            test,
+            folds,
+        )
+        return _search_rows(spark, fitted)
+
+    register(f"tune_{name}")(run)
+
+
+def _search_rows(spark: SparkSession, fitted: ml.Fitted) -> DataFrame:
+    best = min((mean for _, mean in fitted.search if mean == mean), default=None)
+    return spark.createDataFrame(
+        [
+            (fitted.name, ", ".join(f"{k}={v}" for k, v in sorted(point.items())), mean, mean == best)
+            for point, mean in fitted.search
+        ],
+        "model string, point string, cv_rmse double, is_best boolean",
+    )
+
+
+for _name in ("fm", "linear", "tree", "forest", "gbt"):
+    _register_search(_name)
+
+
+@register("ml_pipeline")
+def ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index, assemble, scale and regress in one fitted chain; its test predictions."""
+    frame, train, test = model_data(spark, sf_dir)
+    model = _pipeline(frame, "linear").fit(train)
+    return model.transform(test).select("id", LABEL, "rating_category_index", "prediction")
+
+
+@register("ml_fit")
+def ml_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of a linear fit on the training rows."""
+    frame, train, _ = model_data(spark, sf_dir)
+    fitted = _pipeline(frame, "linear").fit(train).stages[-1]
+    names = [*frame.features(), "(intercept)"]
+    values = [*(float(c) for c in fitted.coefficients), float(fitted.intercept)]
+    return spark.createDataFrame(list(zip(names, values)), "feature string, coefficient double")
+
+
+@register("ml_score")
+def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame, train, test = model_data(spark, sf_dir)
+    return _pipeline(frame, "tree").fit(train).transform(test).select("id", LABEL, "prediction")
+
+
+@register(
+    "ml_linear_one_feature",
+    over_catalog(
+        "SELECT round(regr_slope(vote_average, vote_count), 6) AS slope,"
+        " round(regr_intercept(vote_average, vote_count), 6) AS intercept FROM catalog"
+    ),
+)
+def ml_linear_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feature and no penalty: least squares, which SQL can repeat."""
+    rows = stage(fx.catalog(spark, sf_dir).select("vote_count", LABEL), "votes")
+    assembled = VectorAssembler(inputCols=["vote_count"], outputCol="features").transform(rows)
+    fitted = LinearRegression(labelCol=LABEL, solver="normal").fit(assembled)
+    return spark.createDataFrame(
+        [(float(fitted.coefficients[0]), float(fitted.intercept))],
+        "slope double, intercept double",
+    ).select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+# Fixed linear scorers: prediction = base + weight * column.
+SCORERS = {
+    "by_votes": (3.0, 0.02, "vote_count"),
+    "by_price": (4.0, 0.00001, "popularity"),
+    "constant": (5.0, 0.0, "vote_count"),
+}
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scorer's prediction for the test rows, in one pass."""
+    movies = fx.catalog(spark, sf_dir).select("id", LABEL, "vote_count", "popularity")
+    _, test = split_train_test(movies)
+    predictions = [
+        F.struct(
+            F.lit(model).alias("model"),
+            (F.lit(base) + F.lit(weight) * F.col(column)).alias("prediction"),
+        )
+        for model, (base, weight, column) in SCORERS.items()
+    ]
+    return test.select(LABEL, F.inline(F.array(*predictions)))
+
+
+def _errors_sql() -> str:
+    scored = " UNION ALL ".join(
+        f"SELECT '{model}' AS model, vote_average AS y, {base} + {weight} * {column} AS p"
+        f" FROM catalog WHERE NOT ({BUCKET_SQL})"
+        for model, (base, weight, column) in SCORERS.items()
+    )
+    return f", scored AS ({scored})"
+
+
+@register(
+    "ml_metrics",
+    over_catalog(
+        f"""{_errors_sql()}
+        SELECT round(sqrt(avg((y - p) ** 2)), 6) AS rmse, round(avg(abs(y - p)), 6) AS mae,
+          round(avg((y - p) ** 2), 6) AS mse,
+          round(1 - sum((y - p) ** 2) / (count(*) * var_pop(y)), 6) AS r2
+        FROM scored WHERE model = 'by_votes'"""
+    ),
+)
+def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four metrics of one scorer."""
+    predictions = _scored(spark, sf_dir).filter(F.col("model") == "by_votes")
+    metrics = ml.regression_metrics(predictions)
+    return metrics.select(*(F.round(m, 6).alias(m) for m in METRICS))
+
+
+@register(
+    "select_best",
+    over_catalog(
+        f"""{_errors_sql()}
+        SELECT model, round(sqrt(avg((y - p) ** 2)), 6) AS rmse FROM scored
+        GROUP BY model ORDER BY rmse, model LIMIT 1"""
+    ),
+)
+def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest rmse among the scorers."""
+    scored = _scored(spark, sf_dir)
+    runs = union_all(
+        [
+            ml.regression_metrics(scored.filter(F.col("model") == model)).select(
+                F.lit(model).alias("model"), F.round("rmse", 6).alias("rmse")
+            )
+            for model in SCORERS
+        ]
+    )
+    return store.select_best(runs)
+
+
+@register("tune_grid")
+def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of every search's grid, with the training rows it is fitted to."""
+    _, train, _ = model_data(spark, sf_dir)
+    models = ml.regressors()
+    sizes = [
+        (name, folds, len(ml.param_grid(models[name], values)))
+        for name, (values, folds) in ml.GRIDS.items()
+    ]
+    grids = spark.createDataFrame(sizes, "model string, folds int, points int")
+    rows = train.agg(F.count(F.lit(1))).scalar()
+    return grids.withColumn("n_train", rows)
+
+
+@register("tune_cv")
+def tune_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-fold search over one tree parameter."""
+    frame, train, test = model_data(spark, sf_dir)
+    tree = ml.regressors()["tree"]
+    grid = ml.param_grid(tree, {"maxDepth": [3, 6]})
+    stages = ml.preparation(frame.features(leak_free=True))
+    return _search_rows(spark, ml.tune("tree", stages, tree, grid, train, test, folds=2))
+
+
+def _lake(spark: SparkSession) -> LakePaths:
+    return LakePaths(scratch_path(spark, "lake"))
+
+
+@register("sink_model")
+def sink_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save a pipeline twice to one place; the stages stored there."""
+    frame, train, _ = model_data(spark, sf_dir)
+    path = _lake(spark).gold(store.BEST_MODEL)
+    model = _pipeline(frame, "linear").fit(train)
+    store.save_model(model, path)
+    store.save_model(model, path)
+    stages = [(i, type(s).__name__) for i, s in enumerate(store.load_model(path).stages)]
+    return spark.createDataFrame(stages, "position int, stage string")
+
+
+@register("src_model")
+def src_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of a reloaded pipeline beside those of the original."""
+    frame, train, test = model_data(spark, sf_dir)
+    path = _lake(spark).gold(store.BEST_MODEL)
+    model = _pipeline(frame, "tree").fit(train)
+    store.save_model(model, path)
+    before = model.transform(test).withColumnRenamed("prediction", "before")
+    again = before.drop("rating_category_index", "features", ml.SCALED)
+    return (
+        store.load_model(path)
+        .transform(again)
+        .select("id", "before", F.col("prediction").alias("after"))
+    )
+
+
+@register("run_log")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs and what the log keeps of them."""
+    frame, train, test = model_data(spark, sf_dir)
+    lake = _lake(spark)
+    for name in ("linear", "tree"):
+        fitted = ml.train_and_evaluate(name, _pipeline(frame, name), train, test)
+        store.log_run(spark, lake, fitted, "training")
+    return store.read_runs(spark, lake).drop("run_id")
+
+
+@register("model_publish")
+def model_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions under one name."""
+    frame, train, _ = model_data(spark, sf_dir)
+    lake = _lake(spark)
+    for name in ("linear", "tree"):
+        model = _pipeline(frame, name).fit(train)
+        store.publish_model(spark, lake, model, "vote_predictor")
+    return store.published_models(spark, lake, "vote_predictor").drop("path")
