@@ -19,7 +19,7 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
@@ -207,6 +207,7 @@ def tune(
         held_part = prepared.transform(held_rows).select(*columns).persist(_SPILLING)
         per_fold.append(
             _in_threads(
+                train.sparkSession,
                 lambda point: _metrics(
                     regressor.copy(point).fit(fit_part).transform(held_part), label
                 )["rmse"],
@@ -234,7 +235,9 @@ def _metrics(predictions: DataFrame, label: str) -> dict[str, float]:
     return {name: nan if value is None else value for name, value in scores.items()}
 
 
-def _in_threads(job: Callable[[Any], Any], items: Sequence[Any], parallelism: int) -> list[Any]:
+def _in_threads(
+    spark: SparkSession, job: Callable[[Any], Any], items: Sequence[Any], parallelism: int
+) -> list[Any]:
     """Submit Spark jobs side by side, as the library's own CV does."""
     with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(job), items)
+        return pool.map(inheritable_thread_target(spark)(job), items)

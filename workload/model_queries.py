@@ -103,6 +103,7 @@ def _register_search(name: str) -> None:
             train,
             test,
             folds,
+            parallelism=8,
         )
         return _search_rows(spark, fitted)
 
