@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,16 +45,62 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def summary(
-    df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str] | None = None, accuracy: int | None = 10_000
 ) -> DataFrame:
     """``describe`` and the quartiles, to a rank error of 1 / ``accuracy``.
 
     The default is Spark's own; the sketches that meet in the last task stay
-    small whatever the table's size.
+    small whatever the table's size.  ``None`` gives exact quartiles, at the
+    price of a few more passes (see ``exact_quantiles``).
     """
     return _statistics(df, columns, quartiles=True, accuracy=accuracy)
 
 
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float] = QUARTILES, bins: int = 4096
+) -> list[float | None]:
+    """The values at the ranks ceil(p * n) of a column of finite numbers.
+
+    Each pass counts the values of an interval in ``bins`` equal parts and
+    goes on with the part that holds the rank, until one value is left.  A
+    pass is a filtered scan and an aggregate of at most ``bins`` rows, so
+    neither a frequent value nor the number of values weighs on one task.
+    NULL and NaN are left out.
+    """
+    v = df.select(_named(column).cast("double").alias("v")).filter("NOT isnan(v)").dropna()
+    span = v.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    if span["n"] == 0:
+        return [None] * len(probabilities)
+    ranks = [max(math.ceil(p * span["n"]), 1) for p in probabilities]
+    found = _at_ranks(v, span["low"], span["high"], ranks, bins)
+    return [found[r] for r in ranks]
+
+
+def _at_ranks(
+    v: DataFrame, low: float, high: float, ranks: Sequence[int], bins: int
+) -> dict[int, float]:
+    """Rank within ``[low, high]`` to value."""
+    if low == high:
+        return dict.fromkeys(ranks, low)
+    part = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))
+    counted = (
+        v.filter(F.col("v").between(low, high))
+        .groupBy(part.alias("part"))
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    )
+    # The window sees one row per part.
+    upto = F.sum("n").over(Window.orderBy("part"))
+    holds = [(F.col("upto") >= r) & (F.col("upto") - F.col("n") < r) for r in sorted(set(ranks))]
+    hits = counted.withColumn("upto", upto).filter(reduce(or_, holds)).collect()
+    found: dict[int, float] = {}
+    for hit in hits:
+        before = hit["upto"] - hit["n"]
+        own = [r for r in ranks if before < r <= hit["upto"]]
+        inner = _at_ranks(v, hit["low"], hit["high"], [r - before for r in own], bins)
+        found |= {r: inner[r - before] for r in own}
+    return found
+
+
 def correlation(
     df: DataFrame, left: str, right: str, nulls: str = "zero", name: str = "corr"
 ) -> DataFrame:
@@ -73,7 +122,7 @@ def correlation(
 
 
 def _statistics(
-    df: DataFrame, columns: Sequence[str] | None, quartiles: bool, accuracy: int
+    df: DataFrame, columns: Sequence[str] | None, quartiles: bool, accuracy: int | None
 ) -> DataFrame:
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -87,8 +136,11 @@ def _statistics(
             "min": F.min(c),
             "max": F.max(c),
         }
-        if quartiles:
+        if quartiles and accuracy is not None:
             stats["q"] = F.percentile_approx(c, list(QUARTILES), accuracy)
+        elif quartiles:
+            exact = [F.lit(q).cast("double") for q in exact_quantiles(df, name)]
+            stats["q"] = F.any_value(F.array(*exact))
         measures += [value.alias(f"{stat}_{i}") for stat, value in stats.items()]
         fields = [F.lit(name).alias("column")]
         fields += [F.col(f"{stat}_{i}").alias(stat) for stat in stats if stat != "q"]

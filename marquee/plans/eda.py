@@ -175,7 +175,7 @@ def top_performers(
     return group_count(movies.filter(F.col("vote_average") > threshold), period, n)
 
 
-def rating_summary(movies: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def rating_summary(movies: DataFrame, accuracy: int | None = 10_000) -> DataFrame:
     return summary(movies, ["vote_average"], accuracy)
 
 

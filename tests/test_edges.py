@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +19,14 @@ from marquee.operators.columns import (
 )
 from marquee.operators.encode import split_train_test, topk_categories, topk_onehot, topk_values
 from marquee.operators.lookup import fits_in_map, lookup_array_dim
-from marquee.operators.profile import correlation, describe, null_profile, schema_profile, summary
+from marquee.operators.profile import (
+    correlation,
+    describe,
+    exact_quantiles,
+    null_profile,
+    schema_profile,
+    summary,
+)
 from marquee.operators.setops import dedup_rows, distinct_count, union_all
 from marquee.plans.eda import age_group
 from marquee.plans.features import SCORE_BOUNDS, SCORE_OTHERWISE
@@ -315,3 +325,30 @@ def test_split_keeps_null_keys(spark):
 def test_random_split(spark):
     train, test = split_train_test(spark.range(1000), key=None)
     assert train.count() + test.count() == 1000
+
+
+@pytest.mark.parametrize("bins", [2, 3, 4096])
+def test_exact_quantiles_against_sorting(spark, bins):
+    """A third of the values are one number; outliers stretch the range."""
+    rng = random.Random(7)
+    rows = [5.0] * 1000 + [rng.gauss(0, 1) for _ in range(1990)] + [1e12, -1e9, *[0.1] * 8]
+    df = spark.createDataFrame([(x,) for x in rows] + [(None,)], "x double")
+    ordered = sorted(rows)
+    probabilities = [0.0, 0.001, 0.25, 0.5, 0.75, 1.0]
+    want = [ordered[max(math.ceil(p * len(rows)), 1) - 1] for p in probabilities]
+    assert exact_quantiles(df, "x", probabilities, bins) == want
+
+
+def test_exact_quantiles_of_nothing_and_of_one_value(spark):
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert exact_quantiles(empty, "x") == [None, None, None]
+    assert summary(empty, ["x"], accuracy=None).first()["p50"] is None
+    same = spark.createDataFrame([(2,), (2,)], "x int")
+    assert exact_quantiles(same, "x") == [2.0, 2.0, 2.0]
+    assert summary(same, ["x"], accuracy=None).first()["p75"] == 2.0
+
+
+def test_approximate_quartiles_are_within_the_rank_error(spark):
+    df = spark.range(100_000).selectExpr("cast(id as double) x")
+    for q, p in zip((25_000, 50_000, 75_000), ("p25", "p50", "p75")):
+        assert abs(summary(df, ["x"]).first()[p] - q) <= 100_000 / 10_000 + 1
