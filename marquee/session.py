@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_staged: list[str] = []
 
 
 def local_session(cores: int | str = "*", memory: str = "20g", **conf: str) -> SparkSession:
@@ -64,4 +65,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this process staged; frames that scan them go stale."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        dropped += path.getFileSystem(conf).delete(path, True)
+    return dropped

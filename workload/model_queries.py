@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StandardScalerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from marquee.session import scratch_path, stage
 from marquee.sources import models as store
 from workload import fixture as fx
 from workload.encode_queries import BUCKET_SQL, PREFIXES
-from workload.fixture import over_catalog
+from workload.fixture import over_catalog, over_processed
 from workload.registry import register
 
 METRICS = ("rmse", "mae", "mse", "r2")
@@ -125,28 +126,105 @@ for _name in ("fm", "linear", "tree", "forest", "gbt"):
     _register_search(_name)
 
 
-@register("ml_pipeline")
+# The model frame's numeric features in SQL, with both parts marked.
+FRAME_SQL = f""", frame AS (
+  SELECT id, vote_average, rating_category, vote_count, release_year, release_month, release_day,
+    normalized_popularity, coalesce(overview_length, 0) AS overview_length,
+    CAST(is_remake AS INTEGER) AS is_remake, movie_age, {BUCKET_SQL} AS is_train
+  FROM processed WHERE release_year IS NOT NULL AND release_month IS NOT NULL
+    AND release_day IS NOT NULL AND movie_age IS NOT NULL),
+buckets AS (
+  SELECT rating_category, row_number() OVER (ORDER BY count(*) DESC, rating_category) - 1 AS i
+  FROM frame WHERE is_train GROUP BY rating_category),
+indexed AS (
+  SELECT frame.*, CAST(i AS DOUBLE) AS rating_category_index
+  FROM frame JOIN buckets USING (rating_category))"""
+
+
+@register(
+    "ml_pipeline",
+    over_processed(
+        f"""{FRAME_SQL}
+        SELECT id, vote_average, rating_category_index,
+          round(vote_count / (SELECT stddev_samp(vote_count) FROM frame WHERE is_train), 6)
+            AS scaled_votes, true AS is_predicted
+        FROM indexed WHERE NOT is_train"""
+    ),
+)
 def ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index, assemble, scale and regress in one fitted chain; its test predictions."""
+    """Index, assemble, scale and regress in one fitted chain, over the test rows."""
     frame, train, test = model_data(spark, sf_dir)
-    model = _pipeline(frame, "linear").fit(train)
-    return model.transform(test).select("id", LABEL, "rating_category_index", "prediction")
+    votes = F.get(vector_to_array(ml.SCALED), F.lit(frame.features().index("vote_count")))
+    scored = _pipeline(frame, "linear").fit(train).transform(test)
+    return scored.select(
+        "id",
+        LABEL,
+        "rating_category_index",
+        F.round(votes, 6).alias("scaled_votes"),
+        F.col("prediction").isNotNull().alias("is_predicted"),
+    )
 
 
-@register("ml_fit")
+def _deviations(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """What the fitted scaler divides the numeric features by."""
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    rows = [(n, float(d)) for n, d in zip(ml.NUMERIC_FEATURES, scaler.std)]
+    return spark.createDataFrame(rows, "feature string, stddev double").select(
+        "feature", F.round("stddev", 6).alias("stddev")
+    )
+
+
+DEVIATIONS_SQL = over_processed(
+    FRAME_SQL
+    + " UNION ALL ".join(
+        f" SELECT '{c}' AS feature, round(stddev_samp({c}), 6) AS stddev FROM indexed WHERE is_train"
+        for c in ml.NUMERIC_FEATURES
+    )
+)
+
+
+@register("ml_fit", DEVIATIONS_SQL)
 def ml_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coefficients of a linear fit on the training rows."""
+    """A pipeline learns from the training rows alone: the scaler's deviations show it."""
     frame, train, _ = model_data(spark, sf_dir)
-    fitted = _pipeline(frame, "linear").fit(train).stages[-1]
-    names = [*frame.features(), "(intercept)"]
-    values = [*(float(c) for c in fitted.coefficients), float(fitted.intercept)]
-    return spark.createDataFrame(list(zip(names, values)), "feature string, coefficient double")
+    return _deviations(spark, _pipeline(frame, "linear").fit(train))
 
 
-@register("ml_score")
+@register(
+    "ml_score",
+    over_processed(
+        f"""{FRAME_SQL},
+        line AS (SELECT regr_slope(vote_average, vote_count) AS b,
+                        regr_intercept(vote_average, vote_count) AS a FROM frame WHERE is_train)
+        SELECT id, vote_average, round(a + b * vote_count, 6) AS prediction
+        FROM frame CROSS JOIN line WHERE NOT is_train"""
+    ),
+)
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, train, test = model_data(spark, sf_dir)
-    return _pipeline(frame, "tree").fit(train).transform(test).select("id", LABEL, "prediction")
+    """A least-squares line fitted on the training rows, over the test rows."""
+    _, train, test = model_data(spark, sf_dir)
+    line = ml.create_pipeline(ml.preparation(["vote_count"]), ml.regressors()["linear"])
+    scored = line.fit(train).transform(test)
+    return scored.select("id", LABEL, F.round("prediction", 6).alias("prediction"))
+
+
+@register(
+    "ml_tree_one_split",
+    over_processed(
+        f"""{FRAME_SQL},
+        leaves AS (SELECT is_remake, avg(vote_average) AS leaf FROM frame WHERE is_train
+                   GROUP BY is_remake)
+        SELECT id, round(leaf, 6) AS prediction FROM frame JOIN leaves USING (is_remake)
+        WHERE NOT is_train"""
+    ),
+)
+def ml_tree_one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One split on a 0/1 feature: its leaves are the two training means."""
+    _, train, test = model_data(spark, sf_dir)
+    stump = ml.regressors()["tree"].setMaxDepth(1)
+    pipeline = ml.create_pipeline(ml.preparation(["is_remake"]), stump)
+    scored = pipeline.fit(train).transform(test)
+    return scored.select("id", F.round("prediction", 6).alias("prediction"))
 
 
 @register(
@@ -237,7 +315,16 @@ def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.select_best(runs)
 
 
-@register("tune_grid")
+@register(
+    "tune_grid",
+    over_processed(
+        f"""{FRAME_SQL},
+        grids AS (SELECT * FROM (VALUES ('fm', 3, 9), ('linear', 3, 9), ('tree', 3, 9),
+                  ('forest', 2, 2), ('gbt', 2, 3)) AS v(model, folds, points))
+        SELECT model, folds, points, (SELECT count(*) FROM frame WHERE is_train) AS n_train
+        FROM grids"""
+    ),
+)
 def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The size of every search's grid, with the training rows it is fitted to."""
     _, train, _ = model_data(spark, sf_dir)
@@ -265,32 +352,31 @@ def _lake(spark: SparkSession) -> LakePaths:
     return LakePaths(scratch_path(spark, "lake"))
 
 
-@register("sink_model")
+@register("sink_model", DEVIATIONS_SQL)
 def sink_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save a pipeline twice to one place; the stages stored there."""
+    """Save a pipeline twice to one place; what the stored one has learnt."""
     frame, train, _ = model_data(spark, sf_dir)
     path = _lake(spark).gold(store.BEST_MODEL)
     model = _pipeline(frame, "linear").fit(train)
     store.save_model(model, path)
     store.save_model(model, path)
-    stages = [(i, type(s).__name__) for i, s in enumerate(store.load_model(path).stages)]
-    return spark.createDataFrame(stages, "position int, stage string")
+    return _deviations(spark, store.load_model(path))
 
 
-@register("src_model")
+@register(
+    "src_model",
+    over_processed(f"{FRAME_SQL} SELECT id, true AS is_same FROM frame WHERE NOT is_train"),
+)
 def src_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of a reloaded pipeline beside those of the original."""
+    """A reloaded pipeline predicts what the original does, row by row."""
     frame, train, test = model_data(spark, sf_dir)
     path = _lake(spark).gold(store.BEST_MODEL)
     model = _pipeline(frame, "tree").fit(train)
     store.save_model(model, path)
     before = model.transform(test).withColumnRenamed("prediction", "before")
-    again = before.drop("rating_category_index", "features", ml.SCALED)
-    return (
-        store.load_model(path)
-        .transform(again)
-        .select("id", "before", F.col("prediction").alias("after"))
-    )
+    again = before.drop(ml.CATEGORY_INDEX, "features", ml.SCALED)
+    same = F.col("before") == F.col("prediction")
+    return store.load_model(path).transform(again).select("id", same.alias("is_same"))
 
 
 @register("run_log")
@@ -304,7 +390,11 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_runs(spark, lake).drop("run_id")
 
 
-@register("model_publish")
+@register(
+    "model_publish",
+    """SELECT 'vote_predictor' AS name, 1 AS version, 'LinearRegressionModel' AS model
+    UNION ALL SELECT 'vote_predictor', 2, 'DecisionTreeRegressionModel'""",
+)
 def model_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions under one name."""
     frame, train, _ = model_data(spark, sf_dir)
