@@ -58,3 +58,26 @@ def test_shared_folder_follows_the_session(spark):
     else:
         assert Path(shared_dir(spark)).is_dir()
         assert shared_dir(spark) == shared_dir(spark)
+
+
+class _Session:
+    """A session's settings, without Spark."""
+
+    def __init__(self, **settings):
+        self.settings = {k.replace("__", "."): v for k, v in settings.items()}
+
+    @property
+    def conf(self):
+        return self
+
+    def get(self, key, default):
+        return self.settings.get(key, default)
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session(spark__master="yarn"))
+    named = _Session(spark__master="yarn", spark__checkpoint__dir="hdfs:///shared/")
+    assert shared_dir(named) == "hdfs:///shared"
+    local = _Session(spark__master="local[2]", spark__app__id="a")
+    assert Path(shared_dir(local)).is_dir() and shared_dir(local) == shared_dir(local)

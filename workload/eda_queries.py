@@ -14,12 +14,12 @@ from workload.fixture import over_catalog, over_processed
 from workload.generic import FEEDS_SQL, describe_sql, flat, rounded
 from workload.registry import register
 
-# Columns of the catalogue that answers with the normalised popularity need.
+# What answers with the normalised popularity need besides it.
 NORMALIZED = {
     "title_popularity": ("title",),
     "corr_rating": ("vote_average",),
     "corr_votes": ("vote_count",),
-    "corr_age": ("release_date",),
+    "corr_age": ("movie_age",),
     "gems": ("title", "vote_average"),
 }
 
@@ -38,7 +38,7 @@ def _question(
         if twice is None:
             movies = fx.processed(spark, sf_dir)
         else:
-            movies = fx.processed_twice_read(spark, sf_dir, twice)
+            movies = fx.processed_narrow(spark, sf_dir, twice)
         result = answer(movies)
         return result if digits is None else rounded(result, digits)
 
@@ -251,7 +251,7 @@ PROCESSED_COLUMNS = (
     over_processed("SELECT * REPLACE (array_to_string(genre_ids, ',') AS genre_ids) FROM processed"),
 )
 def eda_sql_view_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(eda.sql_view_all(fx.processed_twice_read(spark, sf_dir)))
+    return flat(eda.sql_view_all(fx.processed_full(spark, sf_dir)))
 
 
 @register(
@@ -273,7 +273,7 @@ def eda_rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def eda_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eda.nulls_per_column(fx.processed_twice_read(spark, sf_dir))
+    return eda.nulls_per_column(fx.processed_full(spark, sf_dir))
 
 
 @register(

@@ -11,9 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from marquee.operators.columns import max_normalize
 from marquee.plans.features import engineer_features
 from marquee.session import stage
+from marquee.sources.tables import read_table
 
 IMAGES = "https://image.example.org/t/p/w500"
 AS_OF = "2006-01-01"
@@ -21,8 +24,15 @@ FEED_DIVISORS = {"popular": 2, "top_rated": 3, "upcoming": 5, "present": 7}
 PAGE_ROWS = 20
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its footers are read for the schema once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return read_table(spark, path, _schemas[path])
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,22 +115,18 @@ def processed(spark: SparkSession, sf_dir: str, source: DataFrame | None = None)
     return engineer_features(movies, genre_dim(spark, sf_dir), IMAGES, AS_OF)
 
 
-def processed_twice_read(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """For answers that use the normalised popularity: rows and their maximum
-    are two reads, so the catalogue's joins run once into a staged table of
-    the columns the answer needs.
-    """
-    movies = all_movies(spark, sf_dir)
-    kept = movies.columns if columns is None else [*columns, "popularity"]
-    narrow = stage(movies.select(*dict.fromkeys(kept)), "catalog")
-    missing = [
-        F.lit(None).cast(f.dataType).alias(f.name)
-        for f in movies.schema.fields
-        if f.name not in narrow.columns
-    ]
-    return processed(spark, sf_dir, narrow.select("*", *missing))
+def processed_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a staged catalogue: the normalised popularity needs its
+    maximum, a second read, and the catalogue's joins should run once."""
+    return processed(spark, sf_dir, stage(all_movies(spark, sf_dir), "catalog"))
+
+
+def processed_narrow(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """Some processed columns and the normalised popularity, staging no more
+    than these: texts, for one, only as their lengths."""
+    rows = processed(spark, sf_dir).select(*columns, "popularity")
+    narrow = max_normalize(stage(rows, "processed"), "popularity", "normalized_popularity")
+    return narrow.drop("popularity")
 
 
 def feeds(source: DataFrame) -> dict[str, DataFrame]:

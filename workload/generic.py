@@ -483,7 +483,7 @@ def fn_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def feat_movies_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(fx.processed_twice_read(spark, sf_dir))
+    return flat(fx.processed_full(spark, sf_dir))
 
 
 # --- aggregates --------------------------------------------------------------------

@@ -30,29 +30,12 @@ def model_data(spark: SparkSession, sf_dir: str) -> tuple[ml.ModelFrame, DataFra
     Few overviews are known in this catalogue and the assembler refuses NULLs,
     so an unknown overview has length 0.
     """
-    movies = fx.processed_twice_read(
-        spark,
-        sf_dir,
-        (
-            "id",
-            "genre_ids",
-            "original_language",
-            "overview",
-            "release_date",
-            "title",
-            "original_title",
-            "vote_average",
-            "vote_count",
-        ),
-    )
-    known = movies.withColumn("overview_length", F.coalesce("overview_length", F.lit(0))).select(
-        "id",
-        LABEL,
-        ml.CATEGORY,
-        *(c for c in ml.NUMERIC_FEATURES if c != ml.CATEGORY_INDEX),
-        *ml.ENCODED,
-    )
-    frame = ml.build_model_frame(stage(known, "processed"), prefixes=PREFIXES)
+    derived = {ml.CATEGORY_INDEX, "normalized_popularity"}
+    needed = ["id", LABEL, ml.CATEGORY, *ml.ENCODED]
+    needed += [c for c in ml.NUMERIC_FEATURES if c not in derived]
+    movies = fx.processed_narrow(spark, sf_dir, needed)
+    known = movies.withColumn("overview_length", F.coalesce("overview_length", F.lit(0)))
+    frame = ml.build_model_frame(known, prefixes=PREFIXES)
     inputs = [c for c in frame.features() if c != ml.CATEGORY_INDEX]
     rows = stage(frame.rows.select("id", LABEL, ml.CATEGORY, *inputs), "model_frame")
     frame = ml.ModelFrame(rows, frame.encoded)
