@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,48 +58,75 @@ def summary(
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float] = QUARTILES, bins: int = 4096
-) -> list[float | None]:
-    """The values at the ranks ceil(p * n) of a column of finite numbers.
-
-    Each pass counts the values of an interval in ``bins`` equal parts and
-    goes on with the part that holds the rank, until one value is left.  A
-    pass is a filtered scan and an aggregate of at most ``bins`` rows, so
-    neither a frequent value nor the number of values weighs on one task.
-    NULL and NaN are left out.
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = QUARTILES,
+    bins: int = 4096,
+) -> dict[str, list[float | None]]:
+    """Per column of finite numbers, the values at the ranks ceil(p * n).
+
+    Every pass counts the values of the open intervals in ``bins`` equal
+    parts and keeps the parts that hold a wanted rank, until each holds one
+    value.  A pass is one scan for all columns and an aggregate of at most
+    ``bins`` rows per interval, so neither a frequent value nor the number of
+    values weighs on one task.  NULL and NaN are left out.
     """
-    v = df.select(_named(column).cast("double").alias("v")).filter("NOT isnan(v)").dropna()
-    span = v.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
-    if span["n"] == 0:
-        return [None] * len(probabilities)
-    ranks = [max(math.ceil(p * span["n"]), 1) for p in probabilities]
-    found = _at_ranks(v, span["low"], span["high"], ranks, bins)
-    return [found[r] for r in ranks]
-
-
-def _at_ranks(
-    v: DataFrame, low: float, high: float, ranks: Sequence[int], bins: int
-) -> dict[int, float]:
-    """Rank within ``[low, high]`` to value."""
-    if low == high:
-        return dict.fromkeys(ranks, low)
-    part = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))
+    cells = (F.struct(F.lit(c).alias("column"), _named(c).cast("double").alias("v")) for c in columns)
+    long = df.select(F.inline(F.array(*cells))).filter("v IS NOT NULL AND NOT isnan(v)")
+    spans = (
+        long.groupBy("column")
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
+    )
+    ranks = {s["column"]: [max(math.ceil(p * s["n"]), 1) for p in probabilities] for s in spans}
+    intervals = [_Interval(s["column"], s["low"], s["high"], 0, ranks[s["column"]]) for s in spans]
+    found: dict[tuple[str, int], float] = {}
+    while intervals:
+        for i in intervals:
+            if i.low == i.high:
+                found |= {(i.column, r): i.low for r in i.ranks}
+        intervals = [i for i in intervals if i.low < i.high]
+        if intervals:
+            intervals = _narrow(long, intervals, bins)
+    return {c: [found.get((c, r)) for r in ranks.get(c, [0] * len(probabilities))] for c in columns}
+
+
+class _Interval(NamedTuple):
+    """Values of a column in ``[low, high]``, with ``before`` smaller ones."""
+
+    column: str
+    low: float
+    high: float
+    before: int
+    ranks: list[int]
+
+
+def _narrow(long: DataFrame, intervals: list[_Interval], bins: int) -> list[_Interval]:
+    """The parts of the intervals that hold their ranks."""
+    v, slot, part, wanted = F.col("v"), F, F, []
+    for k, i in enumerate(intervals):
+        inside = (F.col("column") == i.column) & v.between(i.low, i.high)
+        place = F.least(F.floor((v - i.low) / (i.high - i.low) * bins), F.lit(bins - 1))
+        slot, part = slot.when(inside, F.lit(k)), part.when(inside, place)
+        for r in sorted(set(i.ranks)):
+            upto = F.col("upto") + i.before
+            wanted.append((F.col("slot") == k) & (upto >= r) & (upto - F.col("n") < r))
     counted = (
-        v.filter(F.col("v").between(low, high))
-        .groupBy(part.alias("part"))
+        long.select(slot.alias("slot"), part.alias("part"), "v")
+        .filter(F.col("slot").isNotNull())
+        .groupBy("slot", "part")
         .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    # The window sees one row per part.
-    upto = F.sum("n").over(Window.orderBy("part"))
-    holds = [(F.col("upto") >= r) & (F.col("upto") - F.col("n") < r) for r in sorted(set(ranks))]
-    hits = counted.withColumn("upto", upto).filter(reduce(or_, holds)).collect()
-    found: dict[int, float] = {}
+    running = F.sum("n").over(Window.partitionBy("slot").orderBy("part"))
+    hits = counted.withColumn("upto", running).filter(reduce(or_, wanted)).collect()
+    narrowed = []
     for hit in hits:
-        before = hit["upto"] - hit["n"]
-        own = [r for r in ranks if before < r <= hit["upto"]]
-        inner = _at_ranks(v, hit["low"], hit["high"], [r - before for r in own], bins)
-        found |= {r: inner[r - before] for r in own}
-    return found
+        i = intervals[hit["slot"]]
+        last = i.before + hit["upto"]
+        before = last - hit["n"]
+        own = [r for r in i.ranks if before < r <= last]
+        narrowed.append(_Interval(i.column, hit["low"], hit["high"], before, own))
+    return narrowed
 
 
 def correlation(
@@ -126,6 +154,7 @@ def _statistics(
 ) -> DataFrame:
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    exact = exact_quantiles(df, columns) if quartiles and accuracy is None else {}
     measures, rows = [], []
     for i, name in enumerate(columns):
         c = _named(name).cast("double")
@@ -139,8 +168,8 @@ def _statistics(
         if quartiles and accuracy is not None:
             stats["q"] = F.percentile_approx(c, list(QUARTILES), accuracy)
         elif quartiles:
-            exact = [F.lit(q).cast("double") for q in exact_quantiles(df, name)]
-            stats["q"] = F.any_value(F.array(*exact))
+            known = [F.lit(q).cast("double") for q in exact[name]]
+            stats["q"] = F.any_value(F.array(*known))
         measures += [value.alias(f"{stat}_{i}") for stat, value in stats.items()]
         fields = [F.lit(name).alias("column")]
         fields += [F.col(f"{stat}_{i}").alias(stat) for stat in stats if stat != "q"]

