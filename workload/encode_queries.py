@@ -17,7 +17,7 @@ from workload.registry import register
 PREFIXES = {"genre_names": "genre_", "original_language": "lang_"}
 
 
-def _hot_sql(column: str, prefix: str, source: str) -> str:
+def _hot_sql(column: str, prefix: str) -> str:
     """The indicator that is 1 for a row: its category, ``other``, or NULL."""
     return (
         f"CASE WHEN {column} IS NULL THEN NULL"
@@ -119,8 +119,8 @@ FRAME_COLUMNS = ("id", "vote_average", "is_remake", *REQUIRED)
     over_processed(
         f""", {_top_sql('genre_names', 'processed')}, {_top_sql('original_language', 'processed')}
         SELECT id, vote_average, CAST(is_remake AS INTEGER) AS is_remake, {', '.join(REQUIRED)},
-          {_hot_sql('genre_names', 'genre_', 'processed')} AS hot_genre_names,
-          {_hot_sql('original_language', 'lang_', 'processed')} AS hot_original_language
+          {_hot_sql('genre_names', 'genre_')} AS hot_genre_names,
+          {_hot_sql('original_language', 'lang_')} AS hot_original_language
         FROM processed WHERE release_year IS NOT NULL AND release_month IS NOT NULL
           AND release_day IS NOT NULL AND movie_age IS NOT NULL"""
     ),

@@ -66,10 +66,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def rounded_sql(columns: str, digits: int = 6) -> str:
-    return ", ".join(f"round({c.strip()}, {digits}) AS {c.strip()}" for c in columns.split(","))
-
-
 # --- sources and sinks -----------------------------------------------------
 
 
