@@ -33,6 +33,7 @@ LABEL = "vote_average"
 CATEGORY = "rating_category"
 CATEGORY_INDEX = "rating_category_index"
 SCALED = "scaled_features"
+# Encoded columns, columns that may not be NULL, numeric features.
 ENCODED = ("genre_names", "original_language")
 REQUIRED = ("release_year", "release_month", "release_day", "movie_age")
 NUMERIC_FEATURES = (

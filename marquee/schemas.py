@@ -11,6 +11,7 @@ def movie_schema(integer: T.DataType = T.IntegerType()) -> T.StructType:
     ``integer`` is the type of ``id`` and ``vote_count``.  Feeds use 32 bits;
     pass ``LongType()`` where the keys outgrow them.
     """
+    # The feed's fields and types, in its order.
     return T.StructType(
         [
             T.StructField("adult", T.BooleanType()),

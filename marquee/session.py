@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
-_staged: list[str] = []
+_scratch: list[str] = []
 
 
 def local_session(cores: int | str = "*", memory: str = "20g", **conf: str) -> SparkSession:
@@ -53,7 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -65,15 +67,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables this process staged; frames that scan them go stale."""
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote to scratch paths; returns how many there were.
+
+    Frames that scan staged tables go stale.
+    """
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
-    while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
         dropped += path.getFileSystem(conf).delete(path, True)
     return dropped

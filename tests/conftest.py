@@ -9,7 +9,7 @@ import pytest
 HERE = Path(__file__).resolve().parent
 sys.path[:0] = [str(HERE.parent), str(HERE)]
 
-from marquee.session import drop_staged, local_session  # noqa: E402
+from marquee.session import drop_scratch, local_session  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,7 +18,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     session = local_session(8, memory="8g")
     yield session
-    drop_staged(session)
+    drop_scratch(session)
     session.stop()
 
 

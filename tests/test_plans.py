@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
-from marquee.session import shared_dir
+from marquee.session import drop_scratch, scratch_path, shared_dir, stage
 
 ROOT = Path(__file__).resolve().parents[1]
 QUERIES = contract.queries()
@@ -81,3 +81,13 @@ def test_shared_folder_must_be_named_on_a_cluster():
     assert shared_dir(named) == "hdfs:///shared"
     local = _Session(spark__master="local[2]", spark__app__id="a")
     assert Path(shared_dir(local)).is_dir() and shared_dir(local) == shared_dir(local)
+
+
+def test_staged_tables_scan_pruned_and_can_be_dropped(spark):
+    drop_scratch(spark)
+    staged = stage(spark.range(10).selectExpr("id", "id * 2 AS twice"), "t")
+    assert staged.count() == 10
+    plan = plan_of(staged.select("id").filter("id > 3")).split("== Physical Plan ==")[1]
+    assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,3)" in plan
+    scratch_path(spark, "never_written")
+    assert drop_scratch(spark) == 1
