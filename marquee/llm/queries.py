@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, spaced_seeds, url_filter
-from .common import read
+from . import chat_format, gru_langid, harmonic_packing, spaced_seeds, url_filter
+from .common import crc_mod, read
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +126,35 @@ def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     items = read(spark, sf_dir, "benchmark", "item_id", "text")
     return spaced_seeds.find_overlaps(docs, items)
+
+
+@query()
+def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents; the digest of each piece's ids stands for the ids."""
+    pieces = harmonic_packing.pack(
+        read(spark, sf_dir, "documents", "doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+    return pieces.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query()
+def op5_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict every document's language, learning from those not held out."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = gru_langid.train(docs.filter(crc_mod("doc_id", 4) != 2))
+    return gru_langid.identify(docs, model).select(
+        "doc_id",
+        F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
