@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, gru_langid, harmonic_packing, spaced_seeds, url_filter
+from marquee.session import stage
+
+from . import chat_format, fourier_quality, gru_langid, harmonic_packing, spaced_seeds, url_filter
 from .common import crc_mod, read
 
 QUERIES: dict = {}
@@ -158,3 +160,20 @@ def op5_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred",
         "score",
     )
+
+
+@query()
+def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document's quality, learning from the labels of those not held out."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    # The statistics are read three times; texts only once.
+    stats = stage(fourier_quality.statistics(docs), "op10-stats")
+    labels = read(spark, sf_dir, "labels", "doc_id", F.col("quality").alias("y"))
+    part = crc_mod("doc_id", 4)
+    model = fourier_quality.fit(stats.join(labels, "doc_id").filter(part != 2), part == 3)
+    return fourier_quality.score(stats, model).select(
+        "doc_id",
+        F.coalesce(part == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
