@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-from . import chat_format, fourier_quality, gru_langid, harmonic_packing, ngram_join, spaced_seeds, url_filter
+from . import chat_format, fourier_quality, gru_langid, harmonic_packing, ngram_join, projection_dedup, spaced_seeds, url_filter
 from .common import crc_mod, read
 
 QUERIES: dict = {}
@@ -184,3 +184,11 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies."""
     members, _ = ngram_join.join_similar(read(spark, sf_dir, "documents", "doc_id", "text"))
     return members.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op3_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of each label."""
+    return projection_dedup.near_duplicates(
+        read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    )
