@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-from . import chat_format, fourier_quality, gru_langid, harmonic_packing, ngram_join, projection_dedup, spaced_seeds, url_filter
+from . import (
+    chat_format,
+    fourier_quality,
+    gru_langid,
+    harmonic_packing,
+    ngram_join,
+    projection_dedup,
+    spaced_seeds,
+    url_filter,
+    warc_index,
+)
 from .common import crc_mod, read
 
 QUERIES: dict = {}
@@ -192,3 +202,35 @@ def op3_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_dedup.near_duplicates(
         read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     )
+
+
+WARC_SQL = """
+WITH hashed AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha1(coalesce(html, '')) AS sha FROM pages),
+digested AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 8), lambda i:
+      array_to_string(list_transform(range(0, 4), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(sha, CAST(5 * i + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * k AS INT)) & 31 AS INT) + 1, 1)), '')),
+      '') AS payload_digest
+  FROM hashed),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM digested)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@query(WARC_SQL)
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page and give its capture as the merged index has it.
+
+    Pages have no capture time; their number stands for the seconds since 2020 began.
+    """
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html").withColumn(
+        "captured", F.timestamp_seconds(F.lit(1577836800) + F.col("page_id"))
+    )
+    return warc_index.capture_history(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
