@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marquee.session import stage
 
 from . import (
+    attention_lm,
     chat_format,
     fourier_quality,
     gru_langid,
@@ -237,6 +238,17 @@ def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every whole text, learning from those not held out."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    part = crc_mod("doc_id", 7)
+    scored = attention_lm.score_texts(
+        docs, part != 2, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    )
+    return scored.withColumn("held_out", F.coalesce(part == 2, F.lit(False)))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
