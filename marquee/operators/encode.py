@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import Any
 
@@ -44,12 +45,15 @@ def topk_onehot(
     """A 0/1 column per frequent value and ``other_<column>`` for the rest.
 
     Returns the frame and the names added.  A NULL value is 0 in all of them.
+    Dots and backticks of a value become underscores in its column's name, and
+    names that meet raise; the value itself is in the column's metadata.
     ``categories`` fixes the values, for instance to encode new rows like the
     ones a model was trained on.
     """
     if categories is None:
         categories = topk_categories(df, column, k)
-    names = [f"{prefix}{c}" for c in categories]
+    # A dot would make the name a path into a struct for every later stage.
+    names = [re.sub("[.`]", "_", f"{prefix}{c}") for c in categories]
     added = [*names, f"other_{column}"]
     taken = {c.lower() for c in df.columns}
     for name in added:
@@ -57,7 +61,9 @@ def topk_onehot(
             raise ValueError(f"column {name!r} exists already; pass another prefix")
         taken.add(name.lower())
     flags = [
-        F.when(F.col(column) == F.lit(c), F.lit(1)).otherwise(F.lit(0)).alias(name)
+        F.when(F.col(column) == F.lit(c), F.lit(1))
+        .otherwise(F.lit(0))
+        .alias(name, metadata={"category": str(c)})
         for c, name in zip(categories, names)
     ]
     other = not_in_flag(column, categories).alias(f"other_{column}")

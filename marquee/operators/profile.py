@@ -41,7 +41,11 @@ def schema_profile(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum and maximum, one row per column."""
+    """Count, mean, sample deviation, minimum and maximum, one row per column.
+
+    If all columns are integers the extremes are 64-bit integers and exact;
+    beside a fractional column they are doubles, exact up to 2^53.
+    """
     return _statistics(df, columns, quartiles=False, accuracy=0)
 
 
@@ -50,9 +54,10 @@ def summary(
 ) -> DataFrame:
     """``describe`` and the quartiles, to a rank error of 1 / ``accuracy``.
 
-    The default is Spark's own; the sketches that meet in the last task stay
-    small whatever the table's size.  ``None`` gives exact quartiles, at the
-    price of a few more passes (see ``exact_quantiles``).
+    The default is Spark's own.  Every scan task sends a sketch of at most some
+    ten thousand values to the last one, so that one's work grows with their
+    number.  ``None`` gives exact quartiles, at the price of a few more passes
+    (see ``exact_quantiles``).
     """
     return _statistics(df, columns, quartiles=True, accuracy=accuracy)
 
@@ -61,78 +66,147 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
-    bins: int = 4096,
-) -> dict[str, list[float | None]]:
-    """Per column of finite numbers, the values at the ranks ceil(p * n).
-
-    Every pass counts the values of the open intervals in ``bins`` equal
-    parts and keeps the parts that hold a wanted rank, until each holds one
-    value.  A pass is one scan for all columns and an aggregate of at most
-    ``bins`` rows per interval, so neither a frequent value nor the number of
-    values weighs on one task.  NULL and NaN are left out.
+    bins: int = 8192,
+) -> dict[str, list[float | int | None]]:
+    """Per numeric column, the values at the ranks ceil(p * n); NULL and NaN are left out.
+
+    Every pass counts the values of the open intervals in ``bins`` parts and
+    keeps the parts that hold a wanted rank, with the least and greatest value
+    *seen* there as the next ends, until each holds one value.  The first pass
+    cuts by magnitude, so widely spread values and infinities do no harm; the
+    later ones cut evenly, and an interval whose ends differ always splits.  A
+    double has 64 bits, so a handful of passes do on any distribution;
+    integers are compared as integers, also above 2^53.  A pass is one scan
+    for all columns and an aggregate of at most ``bins`` rows per interval.
     """
-    cells = (F.struct(F.lit(c).alias("column"), _named(c).cast("double").alias("v")) for c in columns)
-    long = df.select(F.inline(F.array(*cells))).filter("v IS NOT NULL AND NOT isnan(v)")
-    spans = (
-        long.groupBy("column")
-        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .collect()
+    whole = {
+        f.name: isinstance(f.dataType, _INTEGERS) for f in df.schema.fields if f.name in set(columns)
+    }
+    typed = df.select(
+        *(
+            _named(c).cast("long" if whole[c] else "double").alias(f"v{i}")
+            for i, c in enumerate(columns)
+        )
     )
-    ranks = {s["column"]: [max(math.ceil(p * s["n"]), 1) for p in probabilities] for s in spans}
-    intervals = [_Interval(s["column"], s["low"], s["high"], 0, ranks[s["column"]]) for s in spans]
-    found: dict[tuple[str, int], float] = {}
+    known = [F.when(~F.isnan(f"v{i}"), F.col(f"v{i}")) if not whole[c] else F.col(f"v{i}") for i, c in enumerate(columns)]
+    typed = typed.select(*(v.alias(f"v{i}") for i, v in enumerate(known)))
+    ends = typed.agg(
+        *(f(f"v{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in _ENDS.items())
+    ).first()
+    intervals, found = [], {}
+    for i, c in enumerate(columns):
+        ranks = [max(math.ceil(p * ends[f"n{i}"]), 1) for p in probabilities]
+        if ends[f"n{i}"]:
+            intervals.append(_Interval(i, whole[c], ends[f"low{i}"], ends[f"high{i}"], 0, ranks))
+    wanted = {i.column: i.ranks for i in intervals}
+    by_magnitude = True
     while intervals:
-        for i in intervals:
-            if i.low == i.high:
-                found |= {(i.column, r): i.low for r in i.ranks}
+        found |= {(i.column, r): i.low for i in intervals if i.low == i.high for r in i.ranks}
         intervals = [i for i in intervals if i.low < i.high]
         if intervals:
-            intervals = _narrow(long, intervals, bins)
-    return {c: [found.get((c, r)) for r in ranks.get(c, [0] * len(probabilities))] for c in columns}
+            intervals = _narrow(typed, intervals, bins, by_magnitude)
+            by_magnitude = False
+    return {c: [found.get((i, r)) for r in wanted.get(i, [0] * len(probabilities))] for i, c in enumerate(columns)}
+
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_ENDS = {"n": F.count, "low": F.min, "high": F.max}
 
 
 class _Interval(NamedTuple):
     """Values of a column in ``[low, high]``, with ``before`` smaller ones."""
 
-    column: str
-    low: float
-    high: float
+    column: int
+    whole: bool
+    low: float | int
+    high: float | int
     before: int
     ranks: list[int]
 
 
-def _narrow(long: DataFrame, intervals: list[_Interval], bins: int) -> list[_Interval]:
+def _place(i: _Interval, v: Column, bins: int, by_magnitude: bool) -> Column:
+    """The part a value of the interval is in: never falling, and 0 and bins - 1 at the ends."""
+    if i.whole and i.high - i.low < bins:
+        return v - F.lit(i.low)
+    if i.whole and i.high - i.low < 1 << 53:
+        share = (v - F.lit(i.low)).cast("double") / float(i.high - i.low)
+    else:
+        v, low, high = v.cast("double"), float(i.low), float(i.high)
+        if by_magnitude or math.isinf(low) or math.isinf(high):
+            v, low, high = _magnitude(v), _magnitude_of(low), _magnitude_of(high)
+        if low == high:
+            # Too close for this scale: the lowest value apart from the rest.
+            return F.when(F.col(f"v{i.column}") == F.lit(i.low), 0).otherwise(bins - 1).cast("long")
+        # Halves, so that the difference of two large doubles stays finite.
+        share = (v / 2 - low / 2) / (high / 2 - low / 2)
+    part = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins - 1))
+    # Rounding may not put the ends together.
+    c = F.col(f"v{i.column}")
+    return F.when(c == F.lit(i.low), 0).when(c == F.lit(i.high), bins - 1).otherwise(part)
+
+
+def _magnitude(v: Column) -> Column:
+    """Grows with v: its sign times the exponent, counted from the smallest double's."""
+    size = F.abs(v)
+    exponent = F.when(size == 0, 0.0).when(size == float("inf"), 3000.0).otherwise(F.log2(size) + 1076)
+    return F.signum(v) * exponent
+
+
+def _magnitude_of(v: float) -> float:
+    size = abs(v)
+    exponent = 0.0 if size == 0 else 3000.0 if math.isinf(size) else math.log2(size) + 1076
+    return math.copysign(exponent, v) if v else 0.0
+
+
+def _narrow(typed: DataFrame, intervals: list[_Interval], bins: int, by_magnitude: bool) -> list[_Interval]:
     """The parts of the intervals that hold their ranks."""
-    v, slot, part, wanted = F.col("v"), F, F, []
+    hits = []
     for k, i in enumerate(intervals):
-        inside = (F.col("column") == i.column) & v.between(i.low, i.high)
-        place = F.least(F.floor((v - i.low) / (i.high - i.low) * bins), F.lit(bins - 1))
-        slot, part = slot.when(inside, F.lit(k)), part.when(inside, place)
-        for r in sorted(set(i.ranks)):
-            upto = F.col("upto") + i.before
-            wanted.append((F.col("slot") == k) & (upto >= r) & (upto - F.col("n") < r))
+        v = F.col(f"v{i.column}")
+        value = F.struct(
+            F.lit(k).alias("slot"),
+            _place(i, v, bins, by_magnitude).cast("long").alias("part"),
+            (v if i.whole else F.lit(None)).cast("long").alias("w"),
+            (F.lit(None) if i.whole else v).cast("double").alias("d"),
+        )
+        hits.append(F.when(v.between(F.lit(i.low), F.lit(i.high)), value))
     counted = (
-        long.select(slot.alias("slot"), part.alias("part"), "v")
-        .filter(F.col("slot").isNotNull())
+        typed.select(F.inline(F.array_compact(F.array(*hits))))
         .groupBy("slot", "part")
-        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *(f(c).alias(f"{n}_{c}") for c in ("w", "d") for n, f in (("low", F.min), ("high", F.max))),
+        )
     )
+    wanted = []
+    for k, i in enumerate(intervals):
+        for r in sorted(set(i.ranks)):
+            upto = F.col("upto") + i.before
+            wanted.append((F.col("slot") == k) & (upto >= r) & (upto - F.col("n") < r))
     running = F.sum("n").over(Window.partitionBy("slot").orderBy("part"))
-    hits = counted.withColumn("upto", running).filter(reduce(or_, wanted)).collect()
     narrowed = []
-    for hit in hits:
+    for hit in counted.withColumn("upto", running).filter(reduce(or_, wanted)).collect():
         i = intervals[hit["slot"]]
+        kind = "w" if i.whole else "d"
+        low, high = hit[f"low_{kind}"], hit[f"high_{kind}"]
+        if (low, high) == (i.low, i.high):
+            raise ArithmeticError(f"the interval from {low} to {high} does not split")
         last = i.before + hit["upto"]
         before = last - hit["n"]
         own = [r for r in i.ranks if before < r <= last]
-        narrowed.append(_Interval(i.column, hit["low"], hit["high"], before, own))
+        narrowed.append(_Interval(i.column, i.whole, low, high, before, own))
     return narrowed
 
 
 def correlation(
     df: DataFrame, left: str, right: str, nulls: str = "zero", name: str = "corr"
 ) -> DataFrame:
-    """Pearson correlation of two columns, one row.
+    """Pearson correlation of two columns, one row; see ``pearson``."""
+    return df.agg(pearson(left, right, nulls).alias(name))
+
+
+def pearson(left: str, right: str, nulls: str = "zero") -> Column:
+    """Pearson correlation of two columns as an aggregate.
 
     ``nulls="zero"`` counts a NULL as 0, as ``DataFrame.stat.corr`` does;
     ``"skip"`` leaves out rows with a NULL on either side.  A constant column
@@ -146,7 +220,7 @@ def correlation(
     else:
         raise ValueError(f"nulls must be 'zero' or 'skip', not {nulls!r}")
     spread = F.stddev_pop(a) * F.stddev_pop(b)
-    return df.agg(F.try_divide(F.covar_pop(a, b), spread).alias(name))
+    return F.try_divide(F.covar_pop(a, b), spread)
 
 
 def _statistics(
@@ -154,21 +228,24 @@ def _statistics(
 ) -> DataFrame:
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    # Integers alone keep their type; beside fractions all are doubles.
+    kind = "long" if all(isinstance(kinds[c], _INTEGERS) for c in columns) else "double"
     exact = exact_quantiles(df, columns) if quartiles and accuracy is None else {}
     measures, rows = [], []
     for i, name in enumerate(columns):
-        c = _named(name).cast("double")
+        c, double = _named(name).cast(kind), _named(name).cast("double")
         stats = {
             "count": F.count(c),
-            "mean": F.avg(c),
-            "stddev": F.stddev_samp(c),
+            "mean": F.avg(double),
+            "stddev": F.stddev_samp(double),
             "min": F.min(c),
             "max": F.max(c),
         }
         if quartiles and accuracy is not None:
             stats["q"] = F.percentile_approx(c, list(QUARTILES), accuracy)
         elif quartiles:
-            known = [F.lit(q).cast("double") for q in exact[name]]
+            known = [F.lit(q).cast(kind) for q in exact[name]]
             stats["q"] = F.any_value(F.array(*known))
         measures += [value.alias(f"{stat}_{i}") for stat, value in stats.items()]
         fields = [F.lit(name).alias("column")]

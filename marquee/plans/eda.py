@@ -6,7 +6,7 @@ rankings end in a limit that each task applies first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import bucketize
@@ -21,6 +21,7 @@ from marquee.operators.profile import correlation, describe, null_profile, summa
 from marquee.operators.setops import distinct_count, union_all
 from marquee.plans.features import AGE_BOUNDS, AGE_OTHERWISE
 
+# The columns of the numeric profile, and below the names of answer columns.
 NUMERIC = ("popularity", "vote_average", "vote_count", "movie_age")
 
 
@@ -76,7 +77,7 @@ def month_counts(movies: DataFrame) -> DataFrame:
     return group_count(movies, "release_month")
 
 
-def year_rating(movies: DataFrame, n: int = 100) -> DataFrame:
+def year_rating(movies: DataFrame, n: int | None = None) -> DataFrame:
     return _mean_score(movies, "release_year", n)
 
 
@@ -152,7 +153,7 @@ def backdrop_null_count(movies: DataFrame) -> DataFrame:
     return null_count(movies, "backdrop_url")
 
 
-def year_counts(movies: DataFrame, n: int = 50) -> DataFrame:
+def year_counts(movies: DataFrame, n: int | None = None) -> DataFrame:
     return group_count(movies, "release_year", n, "num_movies")
 
 
@@ -188,7 +189,7 @@ def nulls_per_column(movies: DataFrame) -> DataFrame:
 
 
 def feed_counts(feeds: dict[str, DataFrame], combined: DataFrame) -> DataFrame:
-    """Rows of every feed and of their deduplicated union."""
+    """Rows of every feed and of their deduplicated union, each counted by itself."""
     counts = [
         count_rows(frame).select(F.lit(name).alias("feed"), "n_rows")
         for name, frame in [*feeds.items(), ("combined", combined)]
@@ -196,6 +197,33 @@ def feed_counts(feeds: dict[str, DataFrame], combined: DataFrame) -> DataFrame:
     return union_all(counts)
 
 
+def membership_counts(rows: DataFrame, feeds: str = "feeds") -> DataFrame:
+    """The same where one table holds all rows with the array of feeds they are in.
+
+    One scan.  Equal rows are found by two 64-bit hashes of their content, so texts are not
+    shuffled to be counted.
+    """
+    content = [F.col(f"`{c}`") for c in rows.columns if c != feeds]
+    hashed = rows.select(
+        F.col(feeds),
+        F.xxhash64(*content, F.lit(1)).alias("h1"),
+        F.xxhash64(*content, F.lit(2)).alias("h2"),
+    )
+    per_row = hashed.select("h1", "h2", F.explode(feeds).alias("feed")).groupBy("h1", "h2", "feed")
+    counted = per_row.agg(F.count(F.lit(1)).alias("n"))
+    # A row of hashes is combined once, whatever feeds hold it.
+    firsts = counted.withColumn(
+        "first", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("feed")) == 1
+    )
+    lines = F.array(
+        F.struct(F.col("feed"), F.col("n").alias("n")),
+        F.struct(F.lit("combined").alias("feed"), F.col("first").cast("long").alias("n")),
+    )
+    return (
+        firsts.select(F.inline(lines)).groupBy("feed").agg(F.sum("n").alias("n_rows"))
+    )
+
+
 def genre_single_counts(
     movies: DataFrame, genres: DataFrame, n: int | None = None
 ) -> DataFrame:
@@ -223,7 +251,7 @@ def popularity_by_year(movies: DataFrame) -> DataFrame:
     ).orderBy(F.col("release_year").asc_nulls_last())
 
 
-def _mean_score(movies: DataFrame, key: str, n: int) -> DataFrame:
+def _mean_score(movies: DataFrame, key: str, n: int | None) -> DataFrame:
     return group_agg(
         movies, key, {"avg_votes": ("avg", "vote_average")}, digits=3, sort_by="avg_votes", n=n
     )

@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 from marquee.lake import LakePaths
 from marquee.operators.columns import fill_sentinel
 from marquee.schemas import MOVIE, page_schema
-from marquee.sources.pages import MAX_PAGES, movies_of, read_genres, read_pages, within_cap
+from marquee.sources.pages import movies_of, read_genres, read_pages, within_cap
 from marquee.sources.tables import write_table
 
+# Image columns and what stands for a missing image.
 IMAGE_COLUMNS = ("backdrop_path", "poster_path")
 DEFAULT_SENTINEL = "/no_image.jpg"
 BARE_SENTINEL = "no_image"
@@ -24,7 +25,7 @@ class Feed:
 
     table: str
     sentinel: str = DEFAULT_SENTINEL
-    max_pages: int = MAX_PAGES
+    max_pages: int | None = None
 
 
 # The four bronze tables.
@@ -47,7 +48,7 @@ def typed_feed(
     page_per_file: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The feed's bronze rows and the pages that could not be read."""
-    pages = read_pages(spark, landing, page_schema(record), page_per_file)
+    pages = read_pages(spark, landing, page_schema(record), page_per_file, parse_once=True)
     rows = movies_of(pages.good.filter(within_cap(feed.max_pages)))
     return fill_sentinel(rows, IMAGE_COLUMNS, feed.sentinel), pages.bad
 
@@ -69,4 +70,7 @@ def ingest_feed(
 def ingest_genres(
     spark: SparkSession, landing: str, lake: LakePaths, page_per_file: bool = False
 ) -> None:
-    write_table(read_genres(spark, landing, page_per_file), lake.bronze(GENRE_TABLE))
+    """Write the genre dimension, and unreadable envelopes beside it."""
+    genres = read_genres(spark, landing, page_per_file)
+    write_table(genres.good, lake.bronze(GENRE_TABLE))
+    write_table(genres.bad, lake.bronze(f"{GENRE_TABLE}_quarantine"))

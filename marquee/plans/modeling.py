@@ -127,14 +127,17 @@ def regressors(seed: int = SEED, label: str = LABEL) -> dict[str, Estimator]:
 
 
 def regression_metrics(
-    predictions: DataFrame, label: str = LABEL, prediction: str = "prediction"
+    predictions: DataFrame,
+    label: str = LABEL,
+    prediction: str = "prediction",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """rmse, mae, mse and r2 in one pass, one row."""
+    """rmse, mae, mse and r2 in one pass: one row, or one for each value of ``by``."""
     y = F.col(label).cast("double")
     error = y - F.col(prediction)
     squares = F.sum(error * error)
     n = F.count(error)
-    return predictions.agg(
+    return predictions.groupBy(*by).agg(
         F.sqrt(F.try_divide(squares, n)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
         F.try_divide(squares, n).alias("mse"),
@@ -206,19 +209,23 @@ def tune(
         prepared = Pipeline(stages=list(stages)).fit(fit_rows)
         fit_part = prepared.transform(fit_rows).select(*columns).persist(_SPILLING)
         held_part = prepared.transform(held_rows).select(*columns).persist(_SPILLING)
-        per_fold.append(
-            _in_threads(
-                train.sparkSession,
-                lambda point: _metrics(
-                    regressor.copy(point).fit(fit_part).transform(held_part), label
-                )["rmse"],
-                grid,
-                parallelism,
+        try:
+            per_fold.append(
+                _in_threads(
+                    train.sparkSession,
+                    lambda point: _metrics(
+                        regressor.copy(point).fit(fit_part).transform(held_part), label
+                    )["rmse"],
+                    grid,
+                    parallelism,
+                )
             )
-        )
-        fit_part.unpersist()
-        held_part.unpersist()
+        finally:
+            fit_part.unpersist()
+            held_part.unpersist()
     means = [fsum(scores) / folds for scores in zip(*per_fold)]
+    if all(map(isnan, means)):
+        raise ArithmeticError(f"no point of the {name} grid has an rmse in every fold")
     # A point that diverged has no rmse and comes last.
     best = min(range(len(grid)), key=lambda i: inf if isnan(means[i]) else means[i])
     fitted = train_and_evaluate(

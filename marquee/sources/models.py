@@ -71,15 +71,20 @@ def log_run(
 ) -> str:
     """Append a run to the log and keep its pipeline; returns the run id."""
     run_id = uuid.uuid4().hex
+    # The pipeline first: a run in the log always has it.
+    if keep_model:
+        save_model(fitted.model, run_model_path(lake, run_id))
     rows = run_rows(fitted, run_name, run_id)
     spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(
         lake.gold("run_log")
     )
-    if keep_model:
-        save_model(fitted.model, lake.gold(f"runs/{run_id}/model"))
     return run_id
 
 
+def run_model_path(lake: LakePaths, run_id: str) -> str:
+    return lake.gold(f"runs/{run_id}/model")
+
+
 def read_runs(spark: SparkSession, lake: LakePaths) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(lake.gold("run_log"))
 
@@ -99,12 +104,13 @@ def select_best(runs: DataFrame, metric: str = "rmse", tie: str = "model") -> Da
 def publish_model(spark: SparkSession, lake: LakePaths, model: PipelineModel, name: str) -> int:
     """Store the model as the next version under ``name``; returns the version.
 
-    The artefact is saved without overwriting, so of two publishers racing
-    for one version the later fails rather than replaces.
+    The artefact gets a folder of its own and the table's row alone makes it
+    a version, so a publisher that fails between the two blocks nothing.  Of
+    two that race for one version, both rows stay and the larger path counts.
     """
-    version = (published_models(spark, lake, name).agg(F.max("version")).first()[0] or 0) + 1
-    path = lake.gold(f"models/{name}/v={version}")
+    path = lake.gold(f"models/{name}/{uuid.uuid4().hex}")
     model.save(path)
+    version = (published_models(spark, lake, name).agg(F.max("version")).first()[0] or 0) + 1
     row = (name, version, type(model.stages[-1]).__name__, path)
     spark.createDataFrame([row], MODEL_TABLE).coalesce(1).write.mode("append").parquet(
         lake.gold("model_table")
@@ -131,7 +137,7 @@ def load_published(
     table = published_models(spark, lake, name)
     if version is not None:
         table = table.filter(F.col("version") == version)
-    row = table.orderBy(F.col("version").desc()).first()
+    row = table.orderBy(F.col("version").desc(), F.col("path").desc()).first()
     if row is None:
         raise LookupError(f"no model {name!r}, version {version or 'any'}")
     return load_model(row["path"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee import functions as fn
 from marquee.operators import aggregates as agg
+from marquee.operators import profile as prof
 from marquee.operators.columns import (
     constant_columns,
     drop_constant_columns,
@@ -355,3 +356,51 @@ def test_approximate_quartiles_are_within_the_rank_error(spark):
     df = spark.range(100_000).selectExpr("cast(id as double) x")
     for q, p in zip((25_000, 50_000, 75_000), ("p25", "p50", "p75")):
         assert abs(summary(df, ["x"]).first()[p] - q) <= 100_000 / 10_000 + 1
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("double", [1.0, 2.0, 3.0, INF]),
+        ("double", [-INF, 1.0, 2.0]),
+        ("double", [-1.7e308, 0.0, 1.0, 1.7e308]),
+        ("double", [(-1) ** i * 10.0 ** (i % 600 - 300) for i in range(1000)]),
+        ("double", [float("nan"), None, 5.0]),
+        ("double", [1.0, 1.0 + 2**-52, 1.0 + 2**-51]),
+        ("bigint", [2**53, 2**53 + 1, 2**53 + 2, 2**53 + 3]),
+        ("bigint", [-(2**63), 0, 5, 2**63 - 1]),
+    ],
+)
+def test_exact_quantiles_of_any_distribution(spark, monkeypatch, kind, values):
+    passes = []
+    narrow = prof._narrow
+    monkeypatch.setattr(prof, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    df = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+    known = sorted(v for v in values if v is not None and v == v)
+    expected = [known[max(math.ceil(p * len(known)), 1) - 1] for p in prof.QUARTILES]
+    assert prof.exact_quantiles(df, ["x"], bins=64)["x"] == expected
+    assert len(passes) <= 12
+
+
+def test_describe_keeps_64_bit_extremes(spark):
+    df = spark.createDataFrame([(2**53 + 1,), (-(2**53) - 1,)], "x bigint")
+    row = prof.describe(df).first()
+    assert (row["min"], row["max"]) == (-(2**53) - 1, 2**53 + 1)
+    assert prof.summary(df, accuracy=None).first()["p75"] == 2**53 + 1
+
+
+def test_onehot_of_a_dotted_value_reaches_a_model(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.createDataFrame([(1, "a.b"), (2, "c")], "id int, c string")
+    rows, names = topk_onehot(df, "c", 5, "c_")
+    assert names == ["c_a_b", "c_c", "other_c"]
+    assert rows.schema["c_a_b"].metadata == {"category": "a.b"}
+    out = VectorAssembler(inputCols=names, outputCol="f").transform(rows).orderBy("id")
+    assert [list(r["f"]) for r in out.collect()] == [[1, 0, 0], [0, 1, 0]]
+    clash = spark.createDataFrame([("a.b",), ("a_b",)], "c string")
+    with pytest.raises(ValueError, match="a_b"):
+        topk_onehot(clash, "c")

@@ -64,8 +64,8 @@ def test_pages_to_typed_rows(spark, tmp_path):
 
 def test_page_cap(spark, tmp_path):
     path = land(tmp_path / "feed", [page(n, [movie(n)], 900) for n in (1, 499, 500, 501)])
-    assert sorted(r["id"] for r in read_movie_pages(spark, path).collect()) == [1, 499, 500]
-    assert read_movie_pages(spark, path, max_pages=None).count() == 4
+    assert sorted(r["id"] for r in read_movie_pages(spark, path, max_pages=500).collect()) == [1, 499, 500]
+    assert read_movie_pages(spark, path).count() == 4
     assert read_movie_pages(spark, path, max_pages=1).count() == 1
 
 
@@ -90,7 +90,27 @@ def test_one_page_per_file(spark, tmp_path):
 
 def test_genres(spark, tmp_path):
     path = land(tmp_path / "genres", [{"genres": [{"id": 1, "name": "Drama"}, {"id": 2, "name": "War"}]}])
-    assert {tuple(r) for r in read_genres(spark, path).collect()} == {(1, "Drama"), (2, "War")}
+    genres = read_genres(spark, path)
+    assert {tuple(r) for r in genres.good.collect()} == {(1, "Drama"), (2, "War")}
+    assert genres.bad.count() == 0
+
+
+def test_bad_genre_envelopes_are_kept(spark, tmp_path):
+    whole = {"genres": [{"id": 1, "name": "Drama"}]}
+    bad_id = {"genres": [{"id": "?", "name": "War"}, {"id": 3, "name": "Crime"}]}
+    landing = land(tmp_path / "genres", [whole, '{"genres": [{"id": 4', bad_id])
+    lake = LakePaths(str(tmp_path / "lake"))
+    ingest_genres(spark, landing, lake)
+    assert [tuple(r) for r in read_table(spark, lake.bronze("movie_genres")).collect()] == [(1, "Drama")]
+    kept = {r["value"] for r in read_table(spark, lake.bronze("movie_genres_quarantine")).collect()}
+    assert kept == {'{"genres": [{"id": 4', json.dumps(bad_id)}
+
+
+def test_a_long_feed_arrives_whole(spark, tmp_path):
+    landing = land(tmp_path / "feed", [page(n, [movie(n)], 900) for n in range(1, 901)])
+    lake = LakePaths(str(tmp_path / "lake"))
+    ingest_feed(spark, landing, lake, Feed("popular_movies"))
+    assert read_table(spark, lake.bronze("popular_movies")).count() == 900
 
 
 def test_overwrite_and_partitioned_write(spark, tmp_path):

@@ -6,8 +6,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from workload.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -7,11 +7,12 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as contract
 from marquee.session import drop_scratch, scratch_path, shared_dir, stage
 
+import __spark_entry__  # noqa: F401  registers the queries
+from workload.registry import QUERIES
+
 ROOT = Path(__file__).resolve().parents[1]
-QUERIES = contract.queries()
 LAZY = [n for n in sorted(QUERIES) if not n.startswith(("ml_", "tune_", "sink_m", "src_m", "run_", "model_"))]
 
 
@@ -45,8 +46,9 @@ def test_unused_texts_are_not_joined(spark, sf_dir):
 def test_source_stays_on_the_executors():
     banned = re.compile(r"\.toPandas\(|\.rdd\b|\budf\(|pandas_udf|localCheckpoint|crossJoin|\.collect\(\)")
     # The k category names; one row per wanted quantile.
-    allowed = {"marquee/operators/encode.py": 1, "marquee/operators/profile.py": 2}
-    for path in [*ROOT.glob("marquee/**/*.py"), *ROOT.glob("workload/*.py")]:
+    allowed = {"marquee/operators/encode.py": 1, "marquee/operators/profile.py": 1}
+    library = [p for p in ROOT.glob("marquee/**/*.py") if "llm" not in p.parts]
+    for path in [*library, *ROOT.glob("workload/*.py")]:
         found = banned.findall(path.read_text())
         assert len(found) <= allowed.get(str(path.relative_to(ROOT)), 0), (path, found)
 
@@ -91,3 +93,24 @@ def test_staged_tables_scan_pruned_and_can_be_dropped(spark):
     assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,3)" in plan
     scratch_path(spark, "never_written")
     assert drop_scratch(spark) == 1
+
+
+def scans(df, table):
+    return plan_of(df).split("== Physical Plan ==")[1].count(f"{table}.parquet")
+
+
+def test_one_catalogue_under_select_best(spark, sf_dir):
+    assert scans(QUERIES["select_best"](spark, sf_dir), "lineitem") == 1
+
+
+def test_one_join_under_both_correlations(spark, sf_dir):
+    assert scans(QUERIES["agg_corr"](spark, sf_dir), "labels") == 1
+
+
+def test_one_scan_counts_all_feeds(spark, sf_dir):
+    assert scans(QUERIES["eda_feed_counts"](spark, sf_dir), "orders") == 1
+
+
+def test_texts_are_joined_unsorted_by_themselves(spark, sf_dir):
+    plan = plan_of(QUERIES["proj_drop"](spark, sf_dir)).split("== Physical Plan ==")[1]
+    assert "SortAggregate" not in plan

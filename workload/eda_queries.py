@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.operators.setops import dedup_rows, union_all
 from marquee.plans import eda
+from marquee.plans.combine import CONSTANT_COLUMNS
+from marquee.schemas import WIDE_MOVIE
 from marquee.session import stage
 from workload import fixture as fx
 from workload.fixture import over_catalog, over_processed
@@ -30,13 +32,15 @@ def _question(
     sql: str,
     digits: int | None = None,
     twice: Sequence[str] | None = None,
+    texts: bool = False,
 ) -> None:
     """Register ``answer(processed)``; ``twice`` names the columns to stage
-    where the normalised popularity makes the plan read the table twice."""
+    where the normalised popularity makes the plan read the table twice;
+    ``texts`` tells whether overviews are asked for."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if twice is None:
-            movies = fx.processed(spark, sf_dir)
+            movies = fx.processed(spark, sf_dir, texts=texts)
         else:
             movies = fx.processed_narrow(spark, sf_dir, twice)
         result = answer(movies)
@@ -68,10 +72,11 @@ def _votes_sql(order: str) -> str:
     )
 
 
-def _score_sql(key: str, n: int) -> str:
+def _score_sql(key: str, n: int | None = None) -> str:
+    limit = "" if n is None else f" LIMIT {n}"
     return over_processed(
         f"""SELECT {key}, round(avg(vote_average), 3) AS avg_votes FROM processed
-        GROUP BY {key} ORDER BY avg_votes DESC NULLS LAST, {key} NULLS LAST LIMIT {n}"""
+        GROUP BY {key} ORDER BY avg_votes DESC NULLS LAST, {key} NULLS LAST{limit}"""
     )
 
 
@@ -121,7 +126,7 @@ _question(
 _question("eda_genre_top10", eda.genre_top, _count_sql("genre_names", n=10))
 _question("eda_language_rating_top10", eda.language_rating, _score_sql("original_language", 10))
 _question("eda_month_counts", eda.month_counts, _count_sql("release_month"))
-_question("eda_year_rating", eda.year_rating, _score_sql("release_year", 100))
+_question("eda_year_rating", eda.year_rating, _score_sql("release_year"))
 _question(
     "eda_overview_by_rating",
     eda.overview_by_rating,
@@ -130,6 +135,7 @@ _question(
         " FROM processed GROUP BY rating_category"
     ),
     digits=6,
+    texts=True,
 )
 _question(
     "eda_corr_rating_popularity",
@@ -198,7 +204,7 @@ _question(
     eda.backdrop_null_count,
     over_processed("SELECT count(*) AS n_null FROM processed WHERE backdrop_url IS NULL"),
 )
-_question("eda_year_counts", eda.year_counts, _count_sql("release_year", "num_movies", 50))
+_question("eda_year_counts", eda.year_counts, _count_sql("release_year", "num_movies"))
 _question(
     "eda_rating_profile",
     eda.rating_profile,
@@ -238,12 +244,21 @@ _question(
     digits=4,
 )
 
+# The stored catalogue without its constants, and what feature engineering adds.
 PROCESSED_COLUMNS = (
-    "backdrop_path genre_ids id original_language original_title overview popularity poster_path"
-    " release_date title vote_average vote_count genre_names release_year release_month"
-    " release_day rating_category normalized_popularity overview_length poster_url backdrop_url"
-    " is_remake movie_age"
-).split()
+    *(f.name for f in WIDE_MOVIE.fields if f.name not in CONSTANT_COLUMNS),
+    "genre_names",
+    "release_year",
+    "release_month",
+    "release_day",
+    "rating_category",
+    "normalized_popularity",
+    "overview_length",
+    "poster_url",
+    "backdrop_url",
+    "is_remake",
+    "movie_age",
+)
 
 
 @register(
@@ -260,7 +275,7 @@ def eda_sql_view_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def eda_rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact quartiles take several passes, so the scores are staged."""
-    scores = stage(fx.catalog(spark, sf_dir).select("vote_average"), "scores")
+    scores = stage(fx.catalog(spark, sf_dir, texts=False).select("vote_average"), "scores")
     return rounded(eda.rating_summary(scores, accuracy=None), 4)
 
 
@@ -281,15 +296,25 @@ def eda_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     over_catalog(
         f"""{FEEDS_SQL}
         SELECT 'popular' AS feed, count(*) AS n_rows FROM catalog WHERE id % 2 = 0
-        UNION ALL SELECT 'top_rated', count(*) FROM catalog WHERE id % 3 = 0
+        UNION ALL SELECT 'top_rated', count(*) FROM catalog WHERE id % 2 = 1
         UNION ALL SELECT 'upcoming', count(*) FROM catalog WHERE id % 5 = 0
         UNION ALL SELECT 'present', count(*) FROM catalog WHERE id % 7 = 0
         UNION ALL SELECT 'combined', count(*) FROM (SELECT DISTINCT * FROM feeds)"""
     ),
 )
 def eda_feed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = fx.feeds(stage(fx.catalog(spark, sf_dir), "catalog"))
-    return eda.feed_counts(lists, dedup_rows(union_all(list(lists.values()))))
+    """Two versions of a movie, as it is and with its later popularity, each with its feeds."""
+    movies = fx.catalog(spark, sf_dir)
+    early = F.array_compact(
+        F.array(*(F.when(F.expr(r), F.lit(n)) for n, r in fx.FEED_RULES.items() if n != "present"))
+    )
+    late = F.array_compact(F.array(F.when(F.expr(fx.FEED_RULES["present"]), F.lit("present"))))
+    versions = F.array(
+        F.struct(F.col("popularity").alias("popularity"), early.alias("feeds")),
+        F.struct((F.col("popularity") + 1).alias("popularity"), late.alias("feeds")),
+    )
+    others = [c for c in movies.columns if c != "popularity"]
+    return eda.membership_counts(movies.select(*others, F.inline(versions)))
 
 
 @register(
@@ -301,4 +326,4 @@ def eda_feed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def eda_genre_single_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eda.genre_single_counts(fx.catalog(spark, sf_dir), fx.genre_dim(spark, sf_dir))
+    return eda.genre_single_counts(fx.catalog(spark, sf_dir, texts=False), fx.genre_dim(spark, sf_dir))

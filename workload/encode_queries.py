@@ -48,7 +48,7 @@ def _top_sql(column: str, source: str) -> str:
 )
 def enc_topk_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form: which columns there are depends on the data."""
-    movies = stage(fx.catalog(spark, sf_dir).select("id", "original_language"), "languages")
+    movies = stage(fx.catalog(spark, sf_dir, texts=False).select("id", "original_language"), "languages")
     encoded, names = topk_onehot(movies, "original_language", 5, "lang_")
     return encoded.unpivot(["id"], names, "name", "flag")
 
@@ -64,7 +64,7 @@ def enc_topk_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def enc_string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(fx.processed(spark, sf_dir).select("id", "rating_category"), "ratings")
+    rows = stage(fx.processed(spark, sf_dir, texts=False).select("id", "rating_category"), "ratings")
     indexer = StringIndexer(
         inputCol="rating_category", outputCol="rating_category_index", handleInvalid="keep"
     )
@@ -81,7 +81,7 @@ ASSEMBLED = ("vote_count", "vote_average", "popularity")
     ),
 )
 def enc_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.catalog(spark, sf_dir).select("id", *ASSEMBLED)
+    rows = fx.catalog(spark, sf_dir, texts=False).select("id", *ASSEMBLED)
     assembled = VectorAssembler(inputCols=list(ASSEMBLED), outputCol="v").transform(rows)
     return _unpacked(assembled.select("id", "v"))
 
@@ -97,7 +97,7 @@ def enc_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def enc_standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(fx.catalog(spark, sf_dir).select("id", *ASSEMBLED), "numbers")
+    rows = stage(fx.catalog(spark, sf_dir, texts=False).select("id", *ASSEMBLED), "numbers")
     assembled = VectorAssembler(inputCols=list(ASSEMBLED), outputCol="raw").transform(rows)
     scaled = StandardScaler(inputCol="raw", outputCol="v").fit(assembled).transform(assembled)
     return _unpacked(scaled.select("id", "v"), digits=6)
@@ -128,7 +128,7 @@ FRAME_COLUMNS = ("id", "vote_average", "is_remake", *REQUIRED)
 def enc_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per encoded column the one indicator that is set."""
     rows = stage(
-        fx.processed(spark, sf_dir).select(
+        fx.processed(spark, sf_dir, texts=False).select(
             "id", "vote_average", "is_remake", *REQUIRED, *ENCODED
         ),
         "processed",
@@ -154,7 +154,7 @@ BUCKET_SQL = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 4)) AS INTEGER)
 
 @register("split_train_test", over_catalog(f"SELECT id, {BUCKET_SQL} AS is_train FROM catalog"))
 def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_split(fx.catalog(spark, sf_dir).select("id"))
+    return with_split(fx.catalog(spark, sf_dir, texts=False).select("id"))
 
 
 @register(
@@ -162,4 +162,4 @@ def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     over_catalog(f"SELECT {BUCKET_SQL} AS is_train, count(*) AS n_rows FROM catalog GROUP BY ALL"),
 )
 def split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_counts(fx.catalog(spark, sf_dir).select("id"))
+    return split_counts(fx.catalog(spark, sf_dir, texts=False).select("id"))

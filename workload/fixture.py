@@ -18,9 +18,15 @@ from marquee.plans.features import engineer_features
 from marquee.session import stage
 from marquee.sources.tables import read_table
 
-IMAGES = "https://image.example.org/t/p/w500"
+IMAGES = "https://image.example.org/posters"
 AS_OF = "2006-01-01"
-FEED_DIVISORS = {"popular": 2, "top_rated": 3, "upcoming": 5, "present": 7}
+#: The feeds overlap, and together hold every movie.
+FEED_RULES = {
+    "popular": "id % 2 = 0",
+    "top_rated": "id % 2 = 1",
+    "upcoming": "id % 5 = 0",
+    "present": "id % 7 = 0",
+}
 PAGE_ROWS = 20
 
 
@@ -35,13 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, path, _schemas[path])
 
 
-def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def catalog(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
     """Fourteen movie columns, lazily; unused ones are pruned down to the scans.
 
     Sides are left for Spark to size: at scale neither supplier nor part nor
     customer is a broadcast side.  Order keys need 64 bits there.  The three
-    inputs keyed by order meet first, on one partitioning; texts are made
-    unique by key, which lets Catalyst drop that join where no text is used.
+    inputs keyed by order meet first, on one partitioning.  Without ``texts``
+    overviews are NULL and no document is read.
     """
     lineitem = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier")
@@ -49,7 +55,6 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    texts = table(spark, sf_dir, "documents").groupBy("doc_id").agg(F.max("text").alias("text"))
     homes = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
 
     lines = (
@@ -67,10 +72,14 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     text_key = key.cast("string")
     no_ids = F.array().cast("array<int>")
+    keyed = orders.join(lines, key == F.col("l_orderkey"))
+    if texts:
+        documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+        keyed = keyed.join(documents, F.col("doc_id") == key, "left")
+    else:
+        keyed = keyed.withColumn("text", F.lit(None).cast("string"))
     return (
-        orders.join(lines, key == F.col("l_orderkey"))
-        .join(texts, F.col("doc_id") == key, "left")
-        .join(homes, F.col("o_custkey") == F.col("c_custkey"))
+        keyed.join(homes, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.lit(False).alias("adult"),
             F.when(key % 31 != 0, F.concat(F.lit("/b"), text_key, F.lit(".jpg"))).alias(
@@ -105,13 +114,15 @@ def genre_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def all_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir).drop("adult", "video")
+def all_movies(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
+    return catalog(spark, sf_dir, texts).drop("adult", "video")
 
 
-def processed(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+def processed(
+    spark: SparkSession, sf_dir: str, source: DataFrame | None = None, texts: bool = True
+) -> DataFrame:
     """The 23-column table as one lazy plan."""
-    movies = all_movies(spark, sf_dir) if source is None else source
+    movies = all_movies(spark, sf_dir, texts) if source is None else source
     return engineer_features(movies, genre_dim(spark, sf_dir), IMAGES, AS_OF)
 
 
@@ -124,14 +135,15 @@ def processed_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def processed_narrow(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
     """Some processed columns and the normalised popularity, staging no more
     than these: texts, for one, only as their lengths."""
-    rows = processed(spark, sf_dir).select(*columns, "popularity")
+    texts = any(c.startswith("overview") for c in columns)
+    rows = processed(spark, sf_dir, texts=texts).select(*columns, "popularity")
     narrow = max_normalize(stage(rows, "processed"), "popularity", "normalized_popularity")
     return narrow.drop("popularity")
 
 
 def feeds(source: DataFrame) -> dict[str, DataFrame]:
     """Four overlapping lists; one holds a later snapshot of its movies."""
-    lists = {name: source.filter(F.col("id") % d == 0) for name, d in FEED_DIVISORS.items()}
+    lists = {name: source.filter(rule) for name, rule in FEED_RULES.items()}
     lists["present"] = lists["present"].withColumn("popularity", F.col("popularity") + 1)
     return lists
 

@@ -42,7 +42,7 @@ MOVIE_SQL = (
 ALL_SQL = MOVIE_SQL.replace("adult, ", "").replace("video, ", "")
 FEEDS_SQL = """,
 feeds AS (
-  SELECT * FROM catalog WHERE id % 2 = 0 UNION ALL SELECT * FROM catalog WHERE id % 3 = 0
+  SELECT * FROM catalog WHERE id % 2 = 0 UNION ALL SELECT * FROM catalog WHERE id % 2 = 1
   UNION ALL SELECT * FROM catalog WHERE id % 5 = 0
   UNION ALL SELECT * REPLACE (popularity + 1 AS popularity) FROM catalog WHERE id % 7 = 0)"""
 PAGED_SQL = """,
@@ -84,18 +84,37 @@ def src_movie_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     "src_page_cap", over_catalog(f"{PAGED_SQL} SELECT {MOVIE_SQL} FROM paged WHERE page <= 500")
 )
 def src_page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(read_movie_pages(spark, landing(spark, sf_dir), WIDE_MOVIE))
+    return flat(read_movie_pages(spark, landing(spark, sf_dir), WIDE_MOVIE, max_pages=500))
 
 
-@register("src_genre_dim", "SELECT n_nationkey AS id, n_name AS name FROM nation")
+@register(
+    "src_genre_dim",
+    """SELECT 'good' AS status, n_nationkey AS id, n_name AS name FROM nation
+    UNION ALL SELECT 'bad', r_regionkey, r_name FROM region""",
+)
 def src_genre_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dimension lands as one envelope per region."""
+    """The dimension lands as one envelope per region, and beside each one whose id is no number.
+
+    Its genres are read; the bad envelopes come back whole.
+    """
     path = scratch_path(spark, "genres")
     nation = table(spark, sf_dir, "nation")
     entry = F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     envelopes = nation.groupBy("n_regionkey").agg(F.collect_list(entry).alias("genres"))
-    envelopes.select(F.to_json(F.struct("genres"))).write.text(path)
-    return read_genres(spark, path)
+    region = table(spark, sf_dir, "region")
+    broken = F.concat(
+        F.lit('{"genres": [{"id": "?", "name": "'), "r_name", F.lit('"}], "key": '), "r_regionkey", F.lit("}")
+    )
+    envelopes.select(F.to_json(F.struct("genres")).alias("value")).unionByName(
+        region.select(broken.alias("value"))
+    ).write.text(path)
+    genres = read_genres(spark, path)
+    bad = genres.bad.select(
+        F.lit("bad").alias("status"),
+        F.get_json_object("value", "$.key").cast("int").alias("id"),
+        F.get_json_object("value", "$.genres[0].name").alias("name"),
+    )
+    return genres.good.select(F.lit("good").alias("status"), "id", "name").unionByName(bad)
 
 
 @register(
@@ -197,7 +216,7 @@ def proj_cast_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def proj_bool_to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    movies = fx.catalog(spark, sf_dir)
+    movies = fx.catalog(spark, sf_dir, texts=False)
     remake = int_to_bool(differs_flag("title", "original_title"))
     return movies.select("id", remake.alias("is_remake")).select(
         "id", bool_to_int("is_remake").alias("is_remake")
@@ -212,7 +231,7 @@ def proj_bool_to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def fill_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = fx.catalog(spark, sf_dir).select("id", "poster_path", "backdrop_path")
+    images = fx.catalog(spark, sf_dir, texts=False).select("id", "poster_path", "backdrop_path")
     return cols.fill_sentinel(images, ["poster_path", "backdrop_path"], "/no_image.jpg")
 
 
@@ -244,7 +263,7 @@ def filt_gt(spark: SparkSession, sf_dir: str) -> DataFrame:
     over_catalog("SELECT count(*) AS n_null FROM catalog WHERE original_language IS NULL"),
 )
 def filt_isnull_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.null_count(fx.catalog(spark, sf_dir), "original_language")
+    return agg.null_count(fx.catalog(spark, sf_dir, texts=False), "original_language")
 
 
 @register(
@@ -257,7 +276,7 @@ def filt_isnull_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def filt_dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     subset = ["poster_path", "backdrop_path", "original_language"]
-    return cols.drop_null_rows(fx.catalog(spark, sf_dir), subset).select("id", *subset)
+    return cols.drop_null_rows(fx.catalog(spark, sf_dir, texts=False), subset).select("id", *subset)
 
 
 @register(
@@ -269,7 +288,7 @@ def filt_dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def pred_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = ["NATION_1", "NATION_2", "NATION_3"]
-    return fx.catalog(spark, sf_dir).select(
+    return fx.catalog(spark, sf_dir, texts=False).select(
         "id", not_in_flag("original_language", listed).alias("other")
     )
 
@@ -289,14 +308,14 @@ def _names_text(df: DataFrame) -> DataFrame:
 
 @register("lookup_array_dim", LOOKUP_SQL)
 def lookup_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    movies = fx.catalog(spark, sf_dir).select("id", "genre_ids")
+    movies = fx.catalog(spark, sf_dir, texts=False).select("id", "genre_ids")
     return _names_text(lookup_array_dim(movies, "genre_ids", fx.genre_dim(spark, sf_dir)))
 
 
 @register("lookup_array_dim_join", LOOKUP_SQL)
 def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The form for a dimension too large to travel with the plan."""
-    movies = stage(fx.catalog(spark, sf_dir).select("id", "genre_ids"), "genre_ids")
+    movies = stage(fx.catalog(spark, sf_dir, texts=False).select("id", "genre_ids"), "genre_ids")
     return _names_text(
         lookup_array_dim(movies, "genre_ids", fx.genre_dim(spark, sf_dir), how="join")
     )
@@ -311,7 +330,7 @@ def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def udf_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """array<int> to array<string> without a Python worker."""
-    movies = fx.catalog(spark, sf_dir).select("id", "genre_ids")
+    movies = fx.catalog(spark, sf_dir, texts=False).select("id", "genre_ids")
     named = lookup_array_dim(movies, "genre_ids", fx.genre_dim(spark, sf_dir))
     return named.select(
         "id",
@@ -355,7 +374,7 @@ def set_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def set_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_count(fx.catalog(spark, sf_dir), "original_language")
+    return distinct_count(fx.catalog(spark, sf_dir, texts=False), "original_language")
 
 
 # --- scalar functions ------------------------------------------------------------
@@ -366,7 +385,7 @@ def set_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     over_catalog(f"{fx.NAMES_SQL} SELECT id, {fx.SENTENCE_SQL} AS genre_names FROM named"),
 )
 def fn_english_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    movies = fx.catalog(spark, sf_dir).select("id", "genre_ids")
+    movies = fx.catalog(spark, sf_dir, texts=False).select("id", "genre_ids")
     named = lookup_array_dim(movies, "genre_ids", fx.genre_dim(spark, sf_dir))
     return named.select("id", english_list("names").alias("genre_names"))
 
@@ -381,7 +400,7 @@ def fn_english_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = date_parts("release_date", "release")
-    return fx.catalog(spark, sf_dir).select("id", *(c.alias(n) for n, c in parts.items()))
+    return fx.catalog(spark, sf_dir, texts=False).select("id", *(c.alias(n) for n, c in parts.items()))
 
 
 @register(
@@ -389,7 +408,7 @@ def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fn_bucket_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucket = bucketize("vote_average", SCORE_BOUNDS, SCORE_OTHERWISE)
-    return fx.catalog(spark, sf_dir).select("id", bucket.alias("rating_category"))
+    return fx.catalog(spark, sf_dir, texts=False).select("id", bucket.alias("rating_category"))
 
 
 @register(
@@ -402,7 +421,7 @@ def fn_bucket_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def fn_bucket_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    movies = fx.catalog(spark, sf_dir)
+    movies = fx.catalog(spark, sf_dir, texts=False)
     aged = movies.select("id", age_years("release_date", AS_OF).alias("movie_age"))
     return aged.select("id", age_group().alias("age_group"))
 
@@ -437,7 +456,7 @@ def fn_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def fn_url_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.catalog(spark, sf_dir).select(
+    return fx.catalog(spark, sf_dir, texts=False).select(
         "id",
         prefixed(IMAGES, "poster_path").alias("poster_url"),
         prefixed(IMAGES, "backdrop_path").alias("backdrop_url"),
@@ -451,7 +470,7 @@ def fn_url_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def fn_neq_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.catalog(spark, sf_dir).select(
+    return fx.catalog(spark, sf_dir, texts=False).select(
         "id", differs_flag("title", "original_title").alias("differs")
     )
 
@@ -460,7 +479,7 @@ def fn_neq_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     "fn_age_years", over_catalog(f"{fx.NAMES_SQL} SELECT id, {fx.AGE_SQL} AS movie_age FROM named")
 )
 def fn_age_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.catalog(spark, sf_dir).select(
+    return fx.catalog(spark, sf_dir, texts=False).select(
         "id", age_years("release_date", AS_OF).alias("movie_age")
     )
 
@@ -592,9 +611,12 @@ def agg_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both ways to treat NULLs; documents without a label have them."""
     documents = table(spark, sf_dir, "documents").select("doc_id")
     labelled = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    zero = prof.correlation(labelled, "quality", "toxic", "zero", "zero")
-    skip = prof.correlation(labelled, "quality", "toxic", "skip", "skip")
-    return rounded(zero.select("zero", skip.scalar().alias("skip")))
+    return rounded(
+        labelled.agg(
+            prof.pearson("quality", "toxic", "zero").alias("zero"),
+            prof.pearson("quality", "toxic", "skip").alias("skip"),
+        )
+    )
 
 
 @register("agg_shape", "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")
@@ -661,7 +683,7 @@ def topk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def topk_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk_values(fx.catalog(spark, sf_dir), "original_language", 5)
+    return topk_values(fx.catalog(spark, sf_dir, texts=False), "original_language", 5)
 
 
 @register(

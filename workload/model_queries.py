@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from marquee.lake import LakePaths
 from marquee.operators.encode import split_train_test
-from marquee.operators.setops import union_all
 from marquee.plans import modeling as ml
 from marquee.session import scratch_path, stage
 from marquee.sources import models as store
@@ -219,7 +218,7 @@ def ml_tree_one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ml_linear_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feature and no penalty: least squares, which SQL can repeat."""
-    rows = stage(fx.catalog(spark, sf_dir).select("vote_count", LABEL), "votes")
+    rows = stage(fx.catalog(spark, sf_dir, texts=False).select("vote_count", LABEL), "votes")
     assembled = VectorAssembler(inputCols=["vote_count"], outputCol="features").transform(rows)
     fitted = LinearRegression(labelCol=LABEL, solver="normal").fit(assembled)
     return spark.createDataFrame(
@@ -238,7 +237,7 @@ SCORERS = {
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every scorer's prediction for the test rows, in one pass."""
-    movies = fx.catalog(spark, sf_dir).select("id", LABEL, "vote_count", "popularity")
+    movies = fx.catalog(spark, sf_dir, texts=False).select("id", LABEL, "vote_count", "popularity")
     _, test = split_train_test(movies)
     predictions = [
         F.struct(
@@ -286,16 +285,8 @@ def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lowest rmse among the scorers."""
-    scored = _scored(spark, sf_dir)
-    runs = union_all(
-        [
-            ml.regression_metrics(scored.filter(F.col("model") == model)).select(
-                F.lit(model).alias("model"), F.round("rmse", 6).alias("rmse")
-            )
-            for model in SCORERS
-        ]
-    )
-    return store.select_best(runs)
+    runs = ml.regression_metrics(_scored(spark, sf_dir), by=["model"])
+    return store.select_best(runs.select("model", F.round("rmse", 6).alias("rmse")))
 
 
 @register(
