@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +20,14 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches small: texts may be long, and a batch is held whole.
 
-    Lowers ``spark.sql.execution.arrow.maxRecordsPerBatch`` where it is higher.
+    Lowers ``spark.sql.execution.arrow.maxRecordsPerBatch`` where it is higher, and lets Python
+    workers that share this file system import the library from where the driver has it.
     """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
