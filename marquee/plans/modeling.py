@@ -25,9 +25,11 @@ from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
 
 from marquee.functions import bool_to_int, hash_bucket
+from marquee.lake import LakePaths
 from marquee.operators.columns import drop_null_rows
 from marquee.operators.encode import topk_onehot
 from marquee.operators.profile import null_profile
+from marquee.sources import models as store
 
 LABEL = "vote_average"
 CATEGORY = "rating_category"
@@ -235,6 +237,42 @@ def tune(
     return Fitted(name, fitted.model, fitted.metrics, search)
 
 
+def build_models(
+    spark: SparkSession,
+    lake: LakePaths,
+    stages: Sequence[Any],
+    train: DataFrame,
+    test: DataFrame,
+    models: Mapping[str, Estimator] | None = None,
+    grids: Mapping[str, tuple[Mapping[str, Sequence[Any]], int]] | None = None,
+) -> str:
+    """Silver to gold: fit every model, search every grid, log each run, keep the best pipeline.
+
+    Returns the id of the run with the lowest rmse; among equal ones a searched run's model comes
+    first by name.  Its pipeline is stored as the best model.
+    """
+    models = regressors() if models is None else models
+    grids = GRIDS if grids is None else grids
+    for name, regressor in models.items():
+        fitted = train_and_evaluate(name, create_pipeline(stages, regressor), train, test)
+        store.log_run(spark, lake, fitted, "training")
+    for name, (values, folds) in grids.items():
+        grid = param_grid(models[name], values)
+        found = tune(name, stages, models[name], grid, train, test, folds)
+        store.log_run(spark, lake, found, "cross_validation")
+    metrics = store.run_metrics(store.read_runs(spark, lake))
+    # The last digits of sums depend on the order of rows; runs that differ only there tie.
+    best = store.select_best(metrics.withColumn("rmse", F.round("rmse", 9))).first()
+    model = store.load_model(store.run_model_path(lake, best["run_id"]))
+    store.save_model(model, lake.gold(store.BEST_MODEL))
+    return best["run_id"]
+
+
+def register_best(spark: SparkSession, lake: LakePaths, name: str) -> int:
+    """Publish the stored best pipeline under ``name``; returns the version."""
+    return store.publish_model(spark, lake, store.load_model(lake.gold(store.BEST_MODEL)), name)
+
+
 _SPILLING = StorageLevel.MEMORY_AND_DISK
 
 

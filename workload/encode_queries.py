@@ -149,6 +149,12 @@ def enc_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.rows.select(*FRAME_COLUMNS, *hot)
 
 
+def fold_sql(folds: int) -> str:
+    """The fold of a search a row's id falls in."""
+    digest = "md5('fold:' || CAST(id AS VARCHAR))"
+    return f"CAST(('0x' || substr({digest}, 1, 4)) AS INTEGER) % {folds}"
+
+
 BUCKET_SQL = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 4)) AS INTEGER) % 100 < 70"
 
 

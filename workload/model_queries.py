@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from itertools import product
+
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -15,7 +17,7 @@ from marquee.plans import modeling as ml
 from marquee.session import scratch_path, stage
 from marquee.sources import models as store
 from workload import fixture as fx
-from workload.encode_queries import BUCKET_SQL, PREFIXES
+from workload.encode_queries import BUCKET_SQL, PREFIXES, fold_sql
 from workload.fixture import over_catalog, over_processed
 from workload.registry import register
 
@@ -46,81 +48,152 @@ def _pipeline(frame: ml.ModelFrame, name: str, leak_free: bool = False) -> Pipel
     return ml.create_pipeline(stages, ml.regressors()[name])
 
 
-def _scores(spark: SparkSession, rows: list[tuple[str, str, dict[str, float]]]) -> DataFrame:
-    return spark.createDataFrame(
-        [(model, features, *(scores[m] for m in METRICS)) for model, features, scores in rows],
-        "model string, features string, " + ", ".join(f"{m} double" for m in METRICS),
+# The model frame's numeric features in SQL, with both parts marked.
+FRAME_SQL = f""", frame AS (
+  SELECT id, vote_average, rating_category, vote_count, release_year, release_month, release_day,
+    normalized_popularity, coalesce(overview_length, 0) AS overview_length,
+    CAST(is_remake AS INTEGER) AS is_remake, movie_age, {BUCKET_SQL} AS is_train
+  FROM processed WHERE release_year IS NOT NULL AND release_month IS NOT NULL
+    AND release_day IS NOT NULL AND movie_age IS NOT NULL),
+buckets AS (
+  SELECT rating_category, row_number() OVER (ORDER BY count(*) DESC, rating_category) - 1 AS i
+  FROM frame WHERE is_train GROUP BY rating_category),
+indexed AS (
+  SELECT frame.*, CAST(i AS DOUBLE) AS rating_category_index
+  FROM frame JOIN buckets USING (rating_category))"""
+
+
+# With the one 0/1 feature ``is_remake`` four of the regressors predict the mean of either value,
+# which SQL can repeat.  Scores with all features are in the tests.
+ONE = ["is_remake"]
+
+
+def one_feature(name: str) -> Estimator:
+    """A regressor set so that it neither samples rows nor stops before the means."""
+    regressor = ml.regressors()[name]
+    if name == "tree":
+        return regressor.setMaxDepth(1)
+    if name == "gbt":
+        return regressor.setMaxDepth(1).setMaxIter(1)
+    if name == "forest":
+        return regressor.setMaxDepth(1).setBootstrap(False).setFeatureSubsetStrategy("all")
+    return regressor
+
+
+ERRORS = (
+    "round(sqrt(avg((y - p) ** 2)), 6) AS rmse, round(avg(abs(y - p)), 6) AS mae,"
+    " round(avg((y - p) ** 2), 6) AS mse,"
+    " round(1 - sum((y - p) ** 2) / (count(*) * var_pop(y)), 6) AS r2"
+)
+MEANS_SQL = f"""{FRAME_SQL},
+leaves AS (SELECT is_remake, avg(vote_average) AS p FROM frame WHERE is_train GROUP BY is_remake),
+scored AS (SELECT vote_average AS y, p FROM frame JOIN leaves USING (is_remake) WHERE NOT is_train)"""
+
+
+def _scores(spark: SparkSession, rows: list[tuple[str, dict[str, float]]]) -> DataFrame:
+    scores = spark.createDataFrame(
+        [(model, *(scores[m] for m in METRICS)) for model, scores in rows],
+        "model string, " + ", ".join(f"{m} double" for m in METRICS),
     )
+    return scores.select("model", *(F.round(m, 6).alias(m) for m in METRICS))
 
 
-def _register_model(name: str) -> None:
-    """Held-out scores with and without the label's own bucket as a feature."""
+def _register_model(name: str, sql: str | None) -> None:
+    """Held-out scores of a model on one feature."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame, train, test = model_data(spark, sf_dir)
-        rows = []
-        for features, leak_free in (("all", False), ("leak_free", True)):
-            fitted = ml.train_and_evaluate(name, _pipeline(frame, name, leak_free), train, test)
-            rows.append((name, features, fitted.metrics))
-        return _scores(spark, rows)
+        _, train, test = model_data(spark, sf_dir)
+        pipeline = ml.create_pipeline(ml.preparation(ONE), one_feature(name))
+        fitted = ml.train_and_evaluate(name, pipeline, train, test)
+        return _scores(spark, [(name, fitted.metrics)])
 
-    register(f"ml_{name}")(run)
+    register(f"ml_{name}", sql)(run)
 
 
-for _name in ("linear", "tree", "gbt", "forest", "fm"):
-    _register_model(_name)
+for _name in ("linear", "tree", "gbt", "forest"):
+    _register_model(_name, over_processed(f"{MEANS_SQL} SELECT '{_name}' AS model, {ERRORS} FROM scored"))
+# A factorization machine only comes near the means, after thousands of steps.
+_register_model("fm", None)
 
 
-def _register_search(name: str) -> None:
-    """Mean rmse of every grid point, and which point won."""
+def _fold_sql(folds: int) -> str:
+    """Each training row as held out (in ``fold``) and as fitted to (in all other folds)."""
+    return f"""{FRAME_SQL},
+folded AS (SELECT is_remake, vote_average AS y, {fold_sql(folds)} AS fold FROM frame WHERE is_train),
+fits AS (SELECT i AS fold, y, is_remake FROM folded JOIN range({folds}) r(i) ON folded.fold <> i)"""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame, train, test = model_data(spark, sf_dir)
-        regressor = ml.regressors()[name]
-        values, folds = ml.GRIDS[name]
-        fitted = ml.tune(
-            name,
-            ml.preparation(frame.features()),
-            regressor,
-            ml.param_grid(regressor, values),
-            train,
-            test,
-            folds,
-            parallelism=8,
-        )
-        return _search_rows(spark, fitted)
 
-    register(f"tune_{name}")(run)
+def _means_search_sql(name: str, folds: int, points: list[str]) -> str:
+    """Every grid point of a tree model finds the means."""
+    listed = ", ".join(f"('{p}')" for p in points)
+    return over_processed(
+        f"""{_fold_sql(folds)},
+        leaves AS (SELECT fold, is_remake, avg(y) AS p FROM fits GROUP BY ALL),
+        errors AS (SELECT fold, sqrt(avg((y - p) ** 2)) AS rmse
+                   FROM folded JOIN leaves USING (fold, is_remake) GROUP BY fold)
+        SELECT '{name}' AS model, point, (SELECT round(avg(rmse), 6) FROM errors) AS cv_rmse
+        FROM (VALUES {listed}) AS v(point)"""
+    )
+
+
+def _linear_search_sql(folds: int, values: dict[str, list[float]]) -> str:
+    """Elastic net on one feature: the correlation, softened by L1 and shrunk by L2."""
+    listed = ", ".join(
+        f"('elasticNetParam={a}, regParam={r}', {r}, {a})"
+        for r in values["regParam"]
+        for a in values["elasticNetParam"]
+    )
+    return over_processed(
+        f"""{_fold_sql(folds)},
+        grid AS (SELECT * FROM (VALUES {listed}) AS v(point, reg, mix)),
+        moments AS (SELECT fold, avg(y) AS my, stddev_pop(y) AS sy, avg(is_remake) AS mx,
+                           stddev_pop(is_remake) AS sx, corr(is_remake, y) AS c FROM fits GROUP BY fold),
+        lines AS (SELECT *, sign(c) * greatest(abs(c) - mix * reg / sy, 0) / (1 + (1 - mix) * reg / sy)
+                            * sy / sx AS slope FROM moments CROSS JOIN grid),
+        errors AS (SELECT point, fold, sqrt(avg((y - my - slope * (is_remake - mx)) ** 2)) AS rmse
+                   FROM folded JOIN lines USING (fold) GROUP BY point, fold)
+        SELECT 'linear' AS model, point, round(avg(rmse), 6) AS cv_rmse FROM errors GROUP BY point"""
+    )
+
+
+def _point(values: dict) -> str:
+    return ", ".join(f"{k}={v}" for k, v in sorted(values.items()))
+
+
+def _grid_points(name: str) -> list[str]:
+    names = list(ml.GRIDS[name][0])
+    return [_point(dict(zip(names, p))) for p in product(*ml.GRIDS[name][0].values())]
 
 
 def _search_rows(spark: SparkSession, fitted: ml.Fitted) -> DataFrame:
-    best = min((mean for _, mean in fitted.search if mean == mean), default=None)
-    return spark.createDataFrame(
-        [
-            (fitted.name, ", ".join(f"{k}={v}" for k, v in sorted(point.items())), mean, mean == best)
-            for point, mean in fitted.search
-        ],
-        "model string, point string, cv_rmse double, is_best boolean",
+    rows = [(fitted.name, _point(point), mean) for point, mean in fitted.search]
+    return spark.createDataFrame(rows, "model string, point string, cv_rmse double").select(
+        "model", "point", F.round("cv_rmse", 6).alias("cv_rmse")
     )
 
 
-for _name in ("fm", "linear", "tree", "forest", "gbt"):
-    _register_search(_name)
+def _search(spark: SparkSession, sf_dir: str, name: str, values: dict, folds: int) -> DataFrame:
+    _, train, test = model_data(spark, sf_dir)
+    regressor = one_feature(name)
+    grid = ml.param_grid(regressor, values)
+    stages = ml.preparation(ONE)
+    fitted = ml.tune(name, stages, regressor, grid, train, test, folds, parallelism=8)
+    return _search_rows(spark, fitted)
 
 
-# The model frame's numeric features in SQL, with both parts marked.
-FRAME_SQL = f""", frame AS (
-  SELECT id, vote_average, rating_category, vote_count, release_year, release_month, release_day,
-    normalized_popularity, coalesce(overview_length, 0) AS overview_length,
-    CAST(is_remake AS INTEGER) AS is_remake, movie_age, {BUCKET_SQL} AS is_train
-  FROM processed WHERE release_year IS NOT NULL AND release_month IS NOT NULL
-    AND release_day IS NOT NULL AND movie_age IS NOT NULL),
-buckets AS (
-  SELECT rating_category, row_number() OVER (ORDER BY count(*) DESC, rating_category) - 1 AS i
-  FROM frame WHERE is_train GROUP BY rating_category),
-indexed AS (
-  SELECT frame.*, CAST(i AS DOUBLE) AS rating_category_index
-  FROM frame JOIN buckets USING (rating_category))"""
+def _register_search(name: str, sql: str | None) -> None:
+    """Mean rmse of every grid point."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _search(spark, sf_dir, name, *ml.GRIDS[name])
+
+    register(f"tune_{name}", sql)(run)
+
+
+_register_search("fm", None)
+_register_search("linear", _linear_search_sql(ml.GRIDS["linear"][1], ml.GRIDS["linear"][0]))
+for _name in ("tree", "forest", "gbt"):
+    _register_search(_name, _means_search_sql(_name, ml.GRIDS[_name][1], _grid_points(_name)))
 
 
 @register(
@@ -312,14 +385,10 @@ def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.withColumn("n_train", rows)
 
 
-@register("tune_cv")
+@register("tune_cv", _means_search_sql("tree", 2, ["maxDepth=3", "maxDepth=6"]))
 def tune_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-fold search over one tree parameter."""
-    frame, train, test = model_data(spark, sf_dir)
-    tree = ml.regressors()["tree"]
-    grid = ml.param_grid(tree, {"maxDepth": [3, 6]})
-    stages = ml.preparation(frame.features(leak_free=True))
-    return _search_rows(spark, ml.tune("tree", stages, tree, grid, train, test, folds=2))
+    return _search(spark, sf_dir, "tree", {"maxDepth": [3, 6]}, 2)
 
 
 def _lake(spark: SparkSession) -> LakePaths:
@@ -353,27 +422,73 @@ def src_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.load_model(path).transform(again).select("id", same.alias("is_same"))
 
 
-@register("run_log")
+LOGGED = {"linear": "LinearRegressionModel", "tree": "DecisionTreeRegressionModel"}
+
+
+@register(
+    "run_log",
+    over_processed(
+        f"""{MEANS_SQL}, errors AS (SELECT {ERRORS} FROM scored),
+        metrics AS (UNPIVOT errors ON rmse, mae, mse, r2 INTO NAME key VALUE value)
+        SELECT 'training' AS run_name, model, key, value FROM metrics
+        CROSS JOIN (VALUES ('LinearRegressionModel'), ('DecisionTreeRegressionModel')) AS v(model)"""
+    ),
+)
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs and what the log keeps of them."""
-    frame, train, test = model_data(spark, sf_dir)
+    """Two runs and the metrics that the log keeps of them."""
+    _, train, test = model_data(spark, sf_dir)
     lake = _lake(spark)
-    for name in ("linear", "tree"):
-        fitted = ml.train_and_evaluate(name, _pipeline(frame, name), train, test)
-        store.log_run(spark, lake, fitted, "training")
-    return store.read_runs(spark, lake).drop("run_id")
+    for name in LOGGED:
+        pipeline = ml.create_pipeline(ml.preparation(ONE), one_feature(name))
+        fitted = ml.train_and_evaluate(name, pipeline, train, test)
+        store.log_run(spark, lake, fitted, "training", keep_model=False)
+    kept = store.read_runs(spark, lake).filter("kind = 'metric'")
+    return kept.select("run_name", "model", "key", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 @register(
     "model_publish",
-    """SELECT 'vote_predictor' AS name, 1 AS version, 'LinearRegressionModel' AS model
-    UNION ALL SELECT 'vote_predictor', 2, 'DecisionTreeRegressionModel'""",
+    over_processed(
+        f"""{MEANS_SQL}
+        SELECT name, version, model, round(sqrt(avg((y - p) ** 2)), 6) AS rmse
+        FROM scored CROSS JOIN (VALUES ('vote_predictor', 1, 'LinearRegressionModel'),
+          ('vote_predictor', 2, 'DecisionTreeRegressionModel')) AS v(name, version, model)
+        GROUP BY name, version, model"""
+    ),
 )
 def model_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two versions under one name."""
-    frame, train, _ = model_data(spark, sf_dir)
+    """Two versions under one name, each loaded again and scored on the held-out rows."""
+    _, train, test = model_data(spark, sf_dir)
+    lake, rows = _lake(spark), []
+    for name in LOGGED:
+        model = ml.create_pipeline(ml.preparation(ONE), one_feature(name)).fit(train)
+        version = store.publish_model(spark, lake, model, "vote_predictor")
+        loaded = store.load_published(spark, lake, "vote_predictor", version)
+        rows.append((version, ml.regression_metrics(loaded.transform(test)).first()["rmse"]))
+    scores = spark.createDataFrame(rows, "version int, rmse double")
+    published = store.published_models(spark, lake, "vote_predictor").drop("path")
+    return published.join(scores, "version").select(
+        "name", "version", "model", F.round("rmse", 6).alias("rmse")
+    )
+
+
+@register(
+    "build_models",
+    over_processed(
+        f"""{MEANS_SQL}
+        SELECT 'DecisionTreeRegressionModel' AS model, 1 AS version,
+          round(sqrt(avg((y - p) ** 2)), 6) AS rmse FROM scored"""
+    ),
+)
+def build_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The composed job on small grids: fit, search, log, keep the best and register it."""
+    _, train, test = model_data(spark, sf_dir)
     lake = _lake(spark)
-    for name in ("linear", "tree"):
-        model = _pipeline(frame, name).fit(train)
-        store.publish_model(spark, lake, model, "vote_predictor")
-    return store.published_models(spark, lake, "vote_predictor").drop("path")
+    models = {name: one_feature(name) for name in LOGGED}
+    grids = {"tree": ({"maxDepth": [1, 2]}, 2)}
+    ml.build_models(spark, lake, ml.preparation(ONE), train, test, models, grids)
+    version = ml.register_best(spark, lake, "vote_predictor")
+    loaded = store.load_published(spark, lake, "vote_predictor")
+    rmse = ml.regression_metrics(loaded.transform(test)).select(F.round("rmse", 6).alias("rmse"))
+    model = type(loaded.stages[-1]).__name__
+    return rmse.select(F.lit(model).alias("model"), F.lit(version).alias("version"), "rmse")
