@@ -36,17 +36,19 @@ def lookup_array_dim(
     name: str = "name",
     out: str = "names",
     how: str = "auto",
-    salts: int = 16,
 ) -> DataFrame:
     """Add ``out``: the name of every id in the array, in order, misses NULL.
 
-    ``how="map"`` looks ids up in one map value and moves no fact row;
-    ``how="join"`` works for a dimension of any size; ``"auto"`` checks the
-    size first.  A NULL array stays NULL.  Of several names for one id the
-    greatest is taken.
+    ``how="map"`` looks ids up in one map value and moves no fact row, and
+    raises where the dimension is too large for that; ``how="join"`` works for
+    a dimension of any size; ``"auto"`` checks the size first.  A NULL array
+    stays NULL.  Of several names for one id the greatest is taken.
     """
-    if how == "auto":
-        how = "map" if fits_in_map(dim, key, name) else "join"
+    if how in ("auto", "map"):
+        fits = fits_in_map(dim, key, name)
+        if how == "map" and not fits:
+            raise ValueError(f"the dimension has over {MAP_ROWS} rows or {MAP_BYTES} bytes of names")
+        how = "map" if fits else "join"
     unique = (
         dim.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("k"))
@@ -55,7 +57,7 @@ def lookup_array_dim(
     if how == "map":
         return _by_map(df, ids, unique, out)
     if how == "join":
-        return _by_join(df, ids, unique, out, salts)
+        return _by_join(df, ids, unique, out)
     raise ValueError(f"how must be 'auto', 'map' or 'join', not {how!r}")
 
 
@@ -68,13 +70,14 @@ def _by_map(df: DataFrame, ids: str, unique: DataFrame, out: str) -> DataFrame:
     )
 
 
-def _by_join(df: DataFrame, ids: str, unique: DataFrame, out: str, salts: int) -> DataFrame:
+def _by_join(df: DataFrame, ids: str, unique: DataFrame, out: str) -> DataFrame:
     """Resolve every different array once, then join the answers back.
 
     Collapsing the arrays first means a frequent array or id is resolved
-    once, not per row.  The join back salts its key with the row's content,
-    so rows that share one array spread over ``salts`` tasks; copies of one
-    whole row are left to the adaptive skew join.
+    once, not per row; each task does so for its rows before the shuffle.
+    Nothing is copied: rows that share one array in the join back, like
+    arrays that share one id, are plain equi-joins with a unique side, whose
+    large partitions the adaptive skew join splits.
     """
     arrays = df.select(F.col(ids).alias("a")).filter(F.size("a") > 0).distinct()
     resolved = (
@@ -83,17 +86,10 @@ def _by_join(df: DataFrame, ids: str, unique: DataFrame, out: str, salts: int) -
         .groupBy("a")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("found"))
         .select("a", F.transform("found", lambda x: x["v"]).alias("__names"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(salts)).cast("int")
-    salted = df.withColumn("__salt", spread)
-    matched = salted.join(
-        resolved,
-        (salted[ids] == resolved["a"]) & (salted["__salt"] == resolved["__salt"]),
-        "left",
     )
+    matched = df.join(resolved, df[f"`{ids}`"] == resolved["a"], "left")
     empty = F.array().cast(T.ArrayType(unique.schema["v"].dataType))
     return matched.select(
-        *(salted[f"`{c}`"] for c in df.columns),
-        F.when(F.size(salted[ids]) == 0, empty).otherwise(F.col("__names")).alias(out),
+        *(df[f"`{c}`"] for c in df.columns),
+        F.when(F.size(df[f"`{ids}`"]) == 0, empty).otherwise(F.col("__names")).alias(out),
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -37,13 +40,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting; it then gets a fresh
-    temporary folder, since driver and executors are one process there.
+    temporary folder, since driver and executors are one process there.  A
+    ``local-cluster`` has executors of their own and must name a folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
@@ -54,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     path = f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_drop_at_exit)
     _scratch.append(path)
     return path
 
@@ -70,6 +76,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _drop_at_exit() -> None:
+    """Leave nothing behind where the program ends in order and the session still runs."""
+    with contextlib.suppress(Exception):
+        if (spark := SparkSession.getActiveSession()) is not None:
+            drop_scratch(spark)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete what this process wrote to scratch paths; returns how many there were.
 

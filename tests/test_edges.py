@@ -404,3 +404,10 @@ def test_onehot_of_a_dotted_value_reaches_a_model(spark):
     clash = spark.createDataFrame([("a.b",), ("a_b",)], "c string")
     with pytest.raises(ValueError, match="a_b"):
         topk_onehot(clash, "c")
+
+
+def test_a_large_dimension_is_refused_as_a_map(spark):
+    large = spark.range(513).selectExpr("cast(id as int) id", "'n' || id as name")
+    df = spark.createDataFrame([([1, 2],)], "ids array<int>")
+    with pytest.raises(ValueError, match="512 rows"):
+        lookup_array_dim(df, "ids", large, how="map")

@@ -79,6 +79,8 @@ class _Session:
 def test_shared_folder_must_be_named_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_Session(spark__master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session(spark__master="local-cluster[2,1,1024]"))
     named = _Session(spark__master="yarn", spark__checkpoint__dir="hdfs:///shared/")
     assert shared_dir(named) == "hdfs:///shared"
     local = _Session(spark__master="local[2]", spark__app__id="a")
