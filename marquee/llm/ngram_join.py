@@ -10,7 +10,9 @@ each.  The steps:
    most ``MAX_FREQUENT`` and become a table every task gets.
 2. A second pass emits the prefixes.  Equal prefix shingles meet in a bucket of
    hashes, where pairs pass the length and the positional filter.  In groups of
-   more than ``SMALL_GROUP`` texts only neighbours by length are paired at first.
+   more than ``SMALL_GROUP`` texts all are at first paired only with the first
+   ``LEADERS`` of about their length: those with the fewest rare shingles of
+   their own, which are closest to what the group has in common.
 3. Pairs are made distinct and pass the suffix filter: shingles are
    divided by hash, and the differences of the parts' sizes bound the distance.
 4. Each pair left is verified once, on whole sets; components follow.
@@ -40,12 +42,11 @@ MAX_FREQUENT = 500_000
 #: Counts up to this are never told apart.
 RARE = 8
 SMALL_GROUP = 12
+LEADERS = 2
 #: Shingles a task collects before it sends them on.
 FLUSH = 2_000_000
 #: A bucket should get about this many shingles or prefix entries.
 PER_BUCKET = 400_000
-#: The part of the hash space in which occurrences are counted: where prefixes lie.
-COUNTED = np.uint64(1 << 63)
 
 _ENTRY = np.dtype([("h", "<u8"), ("key", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -60,10 +61,14 @@ def _parts(s: np.ndarray) -> int:
     return int(sum(int(v) << (15 * i) for i, v in enumerate(sizes)))
 
 
+def _first(bucket: int, buckets: int) -> int:
+    """The least hash of a bucket; buckets are equal ranges of hashes."""
+    return bucket * ((1 << 64) // buckets + 1)
+
+
 def _bucket_rows(h: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
-    """(bucket, from, to) of sorted hashes, cut into equal ranges of hashes."""
-    width = (1 << 64) // buckets + 1
-    edges = np.array([i * width for i in range(buckets)], dtype=np.uint64)
+    """(bucket, from, to) of sorted hashes."""
+    edges = np.array([_first(b, buckets) for b in range(buckets)], dtype=np.uint64)
     at = [*np.searchsorted(h, edges).tolist(), len(h)]
     for b in range(buckets):
         if at[b] < at[b + 1]:
@@ -98,14 +103,15 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
             ones, many, times = values[once], values[~once], counts[~once].astype("<u4")
             rows: dict[int, list] = {}
             for b, i, j in _bucket_rows(ones, buckets):
-                rows.setdefault(b, [None] * 3)[0] = (ones[i:j] >> np.uint64(20)).astype("<u8")
+                low = np.uint64(_first(b, buckets) >> 20)
+                rows.setdefault(b, [None] * 3)[0] = ((ones[i:j] >> np.uint64(20)) - low).astype("<u8")
             for b, i, j in _bucket_rows(many, buckets):
                 rows.setdefault(b, [None] * 3)[1:] = many[i:j], times[i:j]
             b = list(rows)
-            # 44 bits a hash: the bucket gives the first, six bytes hold the others.
+            # 44 bits a hash: one of 16 buckets or more gives four, five bytes hold the others.
             ones = [
                 None if (x := rows[k][0]) is None
-                else np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+                else np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
                 for k in b
             ]
             many = [None if rows[k][1] is None else rows[k][1].tobytes() for k in b]
@@ -123,8 +129,8 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
                 if key not in seen:
                     # Copies in this task count once; the set of keys stays small beside texts.
                     seen.add(key)
-                    held.append(s[: np.searchsorted(s, COUNTED)])
-                    amount += len(held[-1])
+                    held.append(s)
+                    amount += len(s)
             flat = np.array(rows, "<i8").reshape(-1, 5)
             yield send(home, [r.tobytes() for r in flat])
             if amount >= FLUSH:
@@ -168,10 +174,10 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
                     held[2].append(times)
         for bucket in list(parts):
             ones, many, times = parts.pop(bucket)
-            six = np.frombuffer(b"".join(ones), np.uint8).reshape(-1, 6)
-            wide = np.zeros((len(six), 8), np.uint8)
-            wide[:, :6] = six
-            ones = wide.view("<u8").ravel()
+            five = np.frombuffer(b"".join(ones), np.uint8).reshape(-1, 5)
+            wide = np.zeros((len(five), 8), np.uint8)
+            wide[:, :5] = five
+            ones = wide.view("<u8").ravel() + np.uint64(_first(bucket, buckets) >> 20)
             many = np.frombuffer(b"".join(many), "<u8") >> np.uint64(20)
             values = np.concatenate([ones, many])
             weight = np.concatenate(
@@ -253,7 +259,7 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
                 seen.add(key)
                 take = n - -(-percent * n // 100) + 1
                 if len(often):
-                    counted = s[: np.searchsorted(s, COUNTED)] >> np.uint64(20)
+                    counted = s >> np.uint64(20)
                     at = np.minimum(np.searchsorted(often, counted), len(often) - 1)
                     hit = np.flatnonzero(often[at] == counted)
                     if len(hit):
@@ -301,18 +307,16 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
             found = []
             for d in range(1, SMALL_GROUP):
                 x, y = e[:-d], e[d:]
-                near = x["h"] == y["h"]
-                if d > 2:
-                    near &= ~large[d:]
+                near = (x["h"] == y["h"]) & ~large[d:]
                 if not near.any():
                     break
-                x, y = x[near], y[near]
-                passed = _may_link(x, y, percent)
-                found.append(np.stack([x["key"][passed], y["key"][passed]], axis=1))
+                found.append(_likely(x[near], y[near], percent))
+            big = e[large]
+            if len(big):
+                found += _with_leaders(big, percent)
             if found:
                 pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
                 yield rows(0, pairs[:, 0], pairs[:, 1])
-            big = e[large]
             if len(big):
                 yield rows(1, big["h"], big["key"], big["n"], big["pos"])
 
@@ -323,6 +327,30 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
     )
 
 
+def _likely(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    passed = _may_link(x, y, percent)
+    return np.stack([x["key"][passed], y["key"][passed]], axis=1)
+
+
+def _with_leaders(e: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Pairs with the leaders of each length class of a group, and leaders of neighbour classes."""
+    level = (np.log(e["n"]) / np.log(1.1)).astype(np.int64)
+    order = np.lexsort((e["key"], e["pos"], level, e["h"]))
+    e, level = e[order], level[order]
+    fresh = np.concatenate([[True], (e["h"][1:] != e["h"][:-1]) | (level[1:] != level[:-1])])
+    first = np.flatnonzero(fresh)
+    own = np.repeat(first, np.diff(first, append=len(e)))
+    found = []
+    for k in range(LEADERS):
+        lead = np.minimum(own + k, len(e) - 1)
+        ok = (e["h"][lead] == e["h"]) & (level[lead] == level) & (lead < np.arange(len(e)))
+        found.append(_likely(e[lead[ok]], e[ok], percent))
+    above, below = first[1:], first[:-1]
+    ok = e["h"][above] == e["h"][below]
+    found.append(_likely(e[below[ok]], e[above[ok]], percent))
+    return found
+
+
 def _may_link(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Length and positional filter."""
     n, m = x["n"].astype(np.int64), y["n"].astype(np.int64)
@@ -426,7 +454,7 @@ def join_similar(
     # About one shingle for six characters; only the order of magnitude matters.
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-chars // (6 * PER_BUCKET)))
-    found = stage(_profile(docs, size, max(16, buckets // 2)), "profile")
+    found = stage(_profile(docs, size, buckets), "profile")
     rows = found.filter("kind = 0").select("doc_id", F.col("a").alias("key"), "n", "parts")
     classes = stage(
         rows.filter("n > 0")
