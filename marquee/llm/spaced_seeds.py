@@ -1,29 +1,53 @@
 """Benchmark decontamination by spaced seeds, with DataFrame operations only.
 
-A seed is a fixed mask over neighbouring tokens, for example ``11011101011``:
+A seed is a fixed mask over neighbouring tokens, for example ``1101011111``:
 the tokens at a 1 are hashed together, those at a 0 are ignored, so a hash
 still meets its partner when an ignored token was substituted.  Documents and
 benchmark items are hashed under every mask; equal hashes are hits.  Around a
 hit the item is laid over the document and both are compared token by token:
 in every window of ``WINDOW`` tokens substitutions are tolerated as long as
-``MIN_EQUAL`` of them are equal.
+``MIN_EQUAL`` of them are equal.  Wherever those substitutions are, one of the
+masks meets none of them, so no overlap is lost before it is compared.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import words_of
 
-#: Span 11, weight 8; together they miss few patterns of up to two substitutions in a window.
-MASKS = ("11101110011", "11010111101", "10111011101")
+#: Weight 8; for any two tokens of a window some mask lies in it and reads neither.
+MASKS = ("111110111", "1101011111", "11111001011", "111001100111", "110111111")
+#: The same for whole items shorter than a window, by their tokens; the room takes lighter masks.
+SHORT_MASKS = {
+    9: ("111011", "1001111", "11010011", "111101"),
+    10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
+    11: ("11111011", "110101111", "111011101", "1101101011", "1100110111", "111110011", "1010011111"),
+    12: ("11110111", "1100101111", "11011001011", "1111111", "11111101"),
+}
+#: Items with fewer tokens must be equal throughout.
+SHORTEST = min(SHORT_MASKS)
 WINDOW = 13
 MIN_EQUAL = 11
 #: A seed row is about 100 bytes in memory; above this many the join is not broadcast.
 BROADCAST_ROWS = 200_000
 
 
+def covers(masks: tuple[str, ...], length: int, missing: int) -> bool:
+    """Whether ``masks`` meet all of ``length`` tokens with up to ``missing`` substitutions."""
+    placed = [
+        {at + i for i, c in enumerate(m) if c == "1"}
+        for m in masks
+        for at in range(length - len(m) + 1)
+    ]
+    return all(
+        any(p.isdisjoint(gone) for p in placed) for gone in combinations(range(length), missing)
+    )
+
+
 def _seed_hash(hashes: Column, at: Column, mask: str, which: int) -> Column:
     on = [i for i, c in enumerate(mask) if c == "1"]
     return F.xxhash64(F.lit(which), *(F.get(hashes, at + i) for i in on))
@@ -41,17 +65,19 @@ def _token_hashes(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def _seeds(df: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """A row for every mask at every position it fits, with its ``seed``."""
-    span = max(map(len, masks))
-    last = F.size("hashes") - span
+    last = F.size("hashes") - min(map(len, masks))
     placed = df.select(
         "*", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("at")
     )
-    return placed.select(
-        "*",
-        F.explode(
-            F.array(*(_seed_hash(F.col("hashes"), F.col("at"), m, i) for i, m in enumerate(masks)))
-        ).alias("seed"),
+    # A mask that hangs over the end has no seed.
+    seeds = (
+        F.when(
+            F.col("at") + len(m) <= F.size("hashes"),
+            _seed_hash(F.col("hashes"), F.col("at"), m, i),
+        )
+        for i, m in enumerate(masks)
     )
+    return placed.select("*", F.explode(F.array(*seeds)).alias("seed")).filter("seed IS NOT NULL")
 
 
 def _laid_over(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
@@ -101,26 +127,32 @@ def find_overlaps(
     lie over each other), ``n_item`` (the item's tokens) and ``best_window``
     (most equal tokens in a window).  An overlap needs ``min_equal`` equal
     tokens in some window of ``window``; an item shorter than a window may
-    miss as many tokens as a window may, and one shorter than the masks' span
-    none.
+    miss as many tokens as a window may, and one of fewer than ``SHORTEST``
+    tokens none.  All such overlaps are found; masks that would lose some of them
+    raise ValueError.
 
     Tokens are lower-case words between white space.  Null and blank texts
     overlap with nothing, null ids stay null, repeated rows give one row.
-    Other columns are ignored.  Empty tables give no rows.  The items must have
-    few different lengths below the span, as they do: there are only ten.
+    Other columns are ignored.  Empty tables give no rows.  Items shorter than a
+    window are looked for by their length, of which there are only twelve.
     """
-    span = max(map(len, masks))
+    missing = window - min_equal
+    if not covers(masks, window, missing):
+        raise ValueError(f"masks lose overlaps of {min_equal} equal tokens in a window of {window}")
     # The items are hashed once more by each branch below, so fix their rows first.
     items = items.select(F.col(item).alias("key"), F.col(item_text).alias("text")).distinct()
     hashed_items = _token_hashes(items, "key", "text").withColumn(
         "row", F.xxhash64("key", "hashes")
     )
     hashed_docs = _token_hashes(docs, doc, doc_text)
-    laid = _laid_over(hashed_docs, hashed_items.filter(F.size("hashes") >= span), masks)
-    short = hashed_items.filter((F.size("hashes") > 0) & (F.size("hashes") < span))
+    laid = _laid_over(hashed_docs, hashed_items.filter(F.size("hashes") >= window), masks)
+    short = hashed_items.filter((F.size("hashes") > 0) & (F.size("hashes") < window))
     for (length,) in short.select(F.size("hashes")).distinct().collect():
+        own = ("1" * length,) if length < SHORTEST else SHORT_MASKS.get(length, masks)
+        if length >= SHORTEST and not covers(own, length, missing):
+            raise ValueError(f"no masks for items of {length} tokens of which {missing} may differ")
         laid = laid.unionByName(
-            _laid_over(hashed_docs, short.filter(F.size("hashes") == length), ("1" * length,))
+            _laid_over(hashed_docs, short.filter(F.size("hashes") == length), own)
         )
 
     def most_equal(equal: Column) -> Column:
@@ -164,7 +196,7 @@ def find_overlaps(
         )
         .filter(
             F.col("best_window")
-            >= F.when(F.col("n_item") < span, F.col("n_item")).otherwise(
+            >= F.when(F.col("n_item") < SHORTEST, F.col("n_item")).otherwise(
                 F.least(F.lit(window), F.col("n_item")) - (window - min_equal)
             )
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from itertools import combinations
 
 import pytest
 from oracle import compare, connect
@@ -175,6 +176,32 @@ def test_short_items_must_be_exact(spark):
     assert overlaps(spark, [], [(1, "a")]) == {} == overlaps(spark, docs, [])
 
 
+def test_every_placing_of_substitutions_is_found(spark):
+    """All pairs of changed words: in a window quoted from a long item, and in whole short items."""
+    long, docs, want = words(30, 1), [], set()
+    items = [(0, " ".join(long)), *((n, " ".join(words(n, n))) for n in range(9, 14))]
+    for n, quoted, item in [(13, long[8:21], 0), *((n, words(n, n), n) for n in range(9, 14))]:
+        for one, two in combinations(range(n), 2):
+            copy = list(quoted)
+            copy[one], copy[two] = "changed", "too"
+            want.add((len(docs), item))
+            docs.append((len(docs), " ".join(words(6, 999) + copy + words(6, 998))))
+            # The document begins or ends within the quotation.
+            if one == 0:
+                want.add((len(docs), item))
+                docs.append((len(docs), " ".join(copy[1:] + words(6, 997))))
+        # Three changed words are too many.
+        docs.append((len(docs), " ".join(words(6, 999) + ["a", "b", "c"] + quoted[3:])))
+    assert {k[:2] for k in overlaps(spark, docs, items)} == want
+
+
+def test_masks_that_lose_overlaps_are_refused(spark):
+    assert spaced_seeds.covers(spaced_seeds.MASKS, spaced_seeds.WINDOW, 2)
+    docs, items = (spark.createDataFrame([(1, "a")], f"{c} long, text string") for c in ("doc_id", "item_id"))
+    with pytest.raises(ValueError):
+        spaced_seeds.find_overlaps(docs, items, masks=("11101110011", "11010111101", "10111011101"))
+
+
 def test_repeated_rows_and_ids(spark):
     a, b = words(20, 1), words(20, 2)
     docs = [(1, " ".join(a))] * 3 + [(1, " ".join(b))]
