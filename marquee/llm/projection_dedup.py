@@ -4,8 +4,15 @@ In each pass every vector gets a code of random-hyperplane signs, and the
 vectors of a label are sorted by it; vectors that share their first bits stand
 close together.  Each is compared with the ``WINDOW`` before it.  Similar
 vectors share a bit with a known chance, so the number of passes follows from
-the number of vectors: a pair at the threshold is to meet with chance
-``RECALL`` in at least one pass, at every size.
+the bits that a vector must share with another before no more than a window
+stand between them: a pair at the threshold is to meet with chance ``RECALL``
+in at least one pass.
+
+Those bits are measured, as ``PROBES`` codes sort the vectors, since vectors that lie
+close together share far more of them than their number tells.  Each label
+then takes the number of passes with the least work, and the vectors too
+crowded for it are all compared with each other, in blocks.  Where vectors are
+few, or all crowded, these are all of the label's.
 
 Pairs at or above the threshold are united over all passes.  In the end the
 vectors of one component are compared with each other in blocks, however many
@@ -18,7 +25,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.session import stage
@@ -30,6 +37,10 @@ THRESHOLD = 0.93
 WINDOW = 64
 RECALL = 0.98
 BITS = 48
+#: Codes by which the crowding of vectors is measured.
+PROBES = 3
+#: Comparisons that a vector costs in a pass, its block and code included.
+PASS_WORK = 700
 #: Rows compared at a time within a sorted partition, and the size of a component's block.
 BLOCK = 512
 COMPONENT_BLOCK = 1024
@@ -46,6 +57,14 @@ def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recal
     return max(3, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
 
 
+def _planes(dim: int, which: int) -> np.ndarray:
+    return np.random.default_rng([dim, which]).normal(size=(dim, BITS))
+
+
+def _codes(vectors: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    return (vectors @ planes > 0).astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+
+
 def _unit(column) -> np.ndarray:
     """Rows of a list column, all of one length, as unit vectors in double precision."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -76,6 +95,118 @@ def _leaders(near: np.ndarray) -> np.ndarray:
         lead = best
 
 
+def _joined(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what a matrix of links between ``left`` and ``right`` connects."""
+    i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    n, m = len(i), len(j)
+    if not n:
+        return left[:0], left[:0]
+    both = np.eye(n + m, dtype=bool)
+    both[:n, n:] = near[np.ix_(i, j)]
+    both[n:, :n] = both[:n, n:].T
+    own, lead = np.concatenate([left[i], right[j]]), _leaders(both)
+    moved = np.flatnonzero(own[lead] != own)
+    return own[moved], own[lead[moved]]
+
+
+def _crowding(classes: DataFrame, kind: str, window: int) -> DataFrame:
+    """(cid, depth): bits after which no more than a window share a vector's code; the most of all probes."""
+
+    def code(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            dims = batch.column(2).to_numpy()
+            for i, j in _runs([dims]):
+                part = batch.slice(i, j - i)
+                v = _unit(part.column(3))
+                for p in range(PROBES):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(j - i, p, np.int32)),
+                            part.column(1),
+                            part.column(2),
+                            pa.array(_codes(v, _planes(int(dims[i]), p))),
+                            part.column(0),
+                        ],
+                        names=["pass", "l", "dim", "code", "cid"],
+                    )
+
+    def measure(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        tail = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = (table if tail is None else pa.concat_tables([tail, table])).combine_chunks()
+            tail = table.slice(max(0, table.num_rows - window))
+            if table.num_rows <= window:
+                continue
+            group = table.column(1).combine_chunks().dictionary_encode().indices.to_numpy()
+            own, dim, code, cid = (table.column(k).to_numpy() for k in (0, 2, 3, 4))
+            same = np.ones(table.num_rows - window, bool)
+            for k in (own, group, dim):
+                same &= k[window:] == k[:-window]
+            apart = (code[window:] ^ code[:-window])[same]
+            depth = (BITS + 1 - np.frexp(apart.astype(np.float64))[1]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([cid[window:][same], cid[:-window][same]])),
+                    pa.array(np.concatenate([depth, depth])),
+                ],
+                names=["cid", "depth"],
+            )
+
+    order = ["pass", "l", "dim", "code", "cid"]
+    return (
+        classes.select("cid", "l", "dim", "e")
+        .mapInArrow(code, f"pass int, l {kind}, dim int, code long, cid long")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(measure, "cid long, depth int")
+        .groupBy("cid")
+        .agg(F.max("depth").alias("depth"))
+    )
+
+
+def _plan(rows: DataFrame, threshold: float, window: int, recall: float) -> DataFrame:
+    """(l, dim, passes, deepest, crowd) with the least work for each label.
+
+    Vectors that need more bits than ``deepest`` are the ``crowd``; without passes it is all.
+    """
+    needed = F.array(
+        *(F.lit(passes_for(window << d, threshold, window, recall)) for d in range(BITS + 2))
+    )
+    upto = Window.partitionBy("l", "dim").orderBy("depth")
+    bits = rows.groupBy("l", "dim", "depth").agg(F.count("*").alias("n"))
+    bits = bits.withColumn("held", F.sum("n").over(upto)).withColumn(
+        "all", F.sum("n").over(Window.partitionBy("l", "dim"))
+    )
+    choices = bits.select(
+        "l",
+        "dim",
+        F.explode(
+            F.array(
+                F.struct(
+                    F.get(needed, F.col("depth")).alias("passes"),
+                    F.col("depth").alias("deepest"),
+                    (F.col("all") - F.col("held")).alias("crowd"),
+                    F.col("all").alias("n"),
+                ),
+                F.struct(
+                    F.lit(0).alias("passes"),
+                    F.lit(-1).alias("deepest"),
+                    F.col("all").alias("crowd"),
+                    F.col("all").alias("n"),
+                ),
+            )
+        ).alias("c"),
+    )
+    crowd = F.col("c.crowd").cast("double")
+    work = F.col("c.passes") * F.lit(float(PASS_WORK)) * F.col("c.n") + crowd * crowd / 2
+    return choices.groupBy("l", "dim").agg(F.min_by("c", work).alias("c")).select("l", "dim", "c.*").drop("n")
+
+
 def near_duplicates(
     vectors: DataFrame,
     vec: str = "vec_id",
@@ -92,7 +223,8 @@ def near_duplicates(
     or infinity is linked with nothing: its component is itself.  ``component_id`` is the
     smallest id reachable by links; a null id stays null and names a component only if no member
     has an id.  Repeated rows and copies are links of each other; they are compared once.  Other
-    columns are ignored.  An empty table gives no rows.
+    columns are ignored.  An empty table gives no rows.  Links of a label whose work is less
+    without passes are found whole.
     """
     spark = vectors.sparkSession
     bound_batches(spark)
@@ -116,34 +248,43 @@ def near_duplicates(
         .withColumn("dim", F.size("e")),
         "vector-classes",
     )
-    most = classes.groupBy("l", "dim").count().agg(F.max("count")).first()[0] or 0
-    passes = passes_for(most, threshold, window, recall)
+    kind = classes.schema["l"].dataType.simpleString()
+    depths = (
+        classes.select("cid", "l", "dim")
+        .join(_crowding(classes, kind, window), "cid", "left")
+        .withColumn("depth", F.coalesce("depth", F.lit(0)))
+    )
+    depths = stage(depths, "vector-depths")
+    plan = stage(_plan(depths, threshold, window, recall), "vector-passes")
+    planned = classes.select("cid", "l", "dim", "e").join(depths.select("cid", "depth"), "cid").join(
+        plan, ["l", "dim"]
+    )
 
     def code(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            dims = batch.column(2).to_numpy()
-            for i, j in _runs([dims]):
-                part = batch.slice(i, j - i)
-                planes = np.random.default_rng(dims[i]).normal(size=(dims[i], passes * BITS))
-                signs = (_unit(part.column(3)) @ planes > 0).reshape(j - i, passes, BITS)
-                codes = signs.astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                for p in range(passes):
+            dims, passes = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            for i, j in _runs([dims, passes]):
+                part, dim = batch.slice(i, j - i), int(dims[i])
+                v = _unit(part.column(3))
+                for p in range(passes[i]):
+                    if (dim, p) not in planes:
+                        planes[dim, p] = _planes(dim, p)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(j - i, p, np.int32)),
                             part.column(1),
                             part.column(2),
-                            pa.array(np.ascontiguousarray(codes[:, p])),
+                            pa.array(_codes(v, planes[dim, p])),
                             part.column(0),
                             part.column(3),
                         ],
                         names=["pass", "l", "dim", "code", "cid", "e"],
                     )
 
-    kind = classes.schema["l"].dataType.simpleString()
-    coded = classes.select("cid", "l", "dim", "e").mapInArrow(
+    coded = planned.filter("passes > 0").select("cid", "l", "dim", "e", "passes").mapInArrow(
         code, f"pass int, l {kind}, dim int, code long, cid long, e array<double>"
     )
 
@@ -186,7 +327,54 @@ def near_duplicates(
     links = (
         coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, "a long, b long")
     )
-    nodes = stage(components(links), "vector-components")
+    # The crowd of a label: every block against every block.
+    blocks = F.ceil(F.col("crowd") / COMPONENT_BLOCK).cast("int")
+    crowd = (
+        planned.filter("depth > deepest")
+        .withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(
+            "l",
+            "dim",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            "block",
+            "cid",
+            "e",
+        )
+    )
+
+    def compare(batches: Iterator) -> Iterator:
+        """Links inside and between two blocks; rows are sorted by label, length and blocks."""
+        import pyarrow as pa
+
+        def compared(table):
+            i, j, block, cid = (table.column(k).to_numpy() for k in (2, 3, 4, 5))
+            v, left, right = _unit(table.column(6).combine_chunks()), block == i[0], block == j[0]
+            near = v[left] @ v[right].T >= threshold
+            if i[0] == j[0]:
+                np.fill_diagonal(near, False)
+            a, b = _joined(near, cid[left], cid[right])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = (pa.concat_tables([rest, table]) if rest is not None else table).combine_chunks()
+            group = table.column(0).combine_chunks().dictionary_encode().indices.to_numpy()
+            runs = _runs([group, *(table.column(k).to_numpy() for k in (1, 2, 3))])
+            for s, t in runs[:-1]:
+                yield compared(table.slice(s, t - s))
+            rest = table.slice(runs[-1][0]) if runs else None
+        if rest is not None and rest.num_rows:
+            yield compared(rest)
+
+    whole = (
+        crowd.repartition("l", "dim", "i", "j")
+        .sortWithinPartitions("l", "dim", "i", "j")
+        .mapInArrow(compare, "a long, b long")
+    )
+    nodes = stage(components(links.unionByName(whole)), "vector-components")
 
     # Within components: every block against every block.
     sizes = nodes.groupBy("root").agg(F.ceil(F.count("*") / COMPONENT_BLOCK).cast("int").alias("blocks"))

@@ -212,6 +212,30 @@ def test_recall_of_borderline_pairs(spark):
     assert got.filter("n_links >= 1").count() >= 0.9 * 1600
 
 
+@pytest.mark.parametrize("work", [projection_dedup.PASS_WORK, 1])
+def test_recall_among_crowded_vectors(spark, monkeypatch, work):
+    """A label with a common direction, and one with a dense group among others; with and without passes."""
+    monkeypatch.setattr(projection_dedup, "PASS_WORK", work)
+    monkeypatch.setattr(projection_dedup, "COMPONENT_BLOCK", 300)
+    rng, dim = np.random.default_rng(3), 64
+
+    def around(n, cosine):
+        centre = np.full(dim, dim**-0.5) * np.sqrt(cosine)
+        return centre + rng.normal(size=(n, dim)) * np.sqrt((1 - cosine) / dim)
+
+    kinds = [around(3000, 0.86), np.concatenate([rng.normal(size=(1500, dim)), around(1000, 0.87)])]
+    rows, pairs = [], []
+    for label, v in enumerate(kinds):
+        v = v / np.linalg.norm(v, axis=1, keepdims=True)
+        a, b = np.nonzero(np.triu(v @ v.T >= 0.931, 1))
+        pairs += list(zip((a + 10_000 * label).tolist(), (b + 10_000 * label).tolist()))
+        rows += [(10_000 * label + i, [float(x) for x in u], label) for i, u in enumerate(v)]
+    assert len(pairs) > 50
+    of = {r["vec_id"]: r["component_id"] for r in vectors(spark, rows).collect()}
+    found = sum(of[a] == of[b] for a, b in pairs) / len(pairs)
+    assert found >= (0.9 if work == 1 else 1)
+
+
 # --- archives -------------------------------------------------------------------------
 
 
