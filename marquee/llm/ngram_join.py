@@ -17,8 +17,11 @@ each.  The steps:
    divided by hash, and the differences of the parts' sizes bound the distance.
 4. Each pair left is verified once, on whole sets; components follow.
 5. In the large groups, pairs between *different* components are then all
-   filtered and verified, which makes the result whole: within a component no
+   filtered and verified, which makes the components whole: within one no
    further link can change it.
+6. The pairs of the large groups *inside* components are filtered and verified
+   in blocks, which makes the links whole.  Nothing of this runs where only
+   the components are read.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ MAX_FREQUENT = 500_000
 RARE = 8
 SMALL_GROUP = 12
 LEADERS = 2
+#: Texts of a large group that are paired at a time.
+GROUP_BLOCK = 256
 #: Shingles a task collects before it sends them on.
 FLUSH = 2_000_000
 #: A bucket should get about this many shingles or prefix entries.
@@ -429,6 +434,33 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
     return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
+def _inside(with_root: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of the large groups whose texts are in one component, block by block."""
+    groups = with_root.groupBy("h").agg(F.ceil(F.count("*") / GROUP_BLOCK).cast("int").alias("blocks"))
+    placed = (
+        with_root.join(groups, "h")
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+    )
+    at, each = ["h", "root", "i", "j"], ("key", "n", "pos", "block")
+    x = placed.select(*at, *(F.col(c).alias(c + "1") for c in each))
+    y = placed.select(*at, *(F.col(c).alias(c + "2") for c in each))
+    need = F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent) - 1e-9)
+    return (
+        x.join(y, at)
+        .filter(
+            (F.col("key1") < F.col("key2"))
+            & ((F.col("i") == F.col("j")) | (F.col("block1") != F.col("block2")))
+            & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
+            & (F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")) >= need)
+        )
+        .select(F.col("key1").alias("a"), F.col("key2").alias("b"))
+        .distinct()
+    )
+
+
 def join_similar(
     docs: DataFrame,
     doc: str = "doc_id",
@@ -440,8 +472,9 @@ def join_similar(
 
     ``members`` has a row per row of ``docs``: ``doc_id``, ``key`` (of the word sequence; equal
     for copies), ``n_shingles``, ``component_id`` (smallest doc_id reachable by links, its own
-    included).  ``links`` has pairs (a, b) of keys: every class pair that was verified as linked,
-    which connects all that is linked; copies are linked by their key.
+    included).  ``links`` has every linked pair (a, b) of different keys once, a < b; copies are
+    linked by their key.  In a large group of near copies that is a row for each two of them, so
+    the pairs inside components are verified only when ``links`` is read.
 
     Texts with fewer than ``size`` words have their whole sequence as one shingle.  Null and blank
     texts have no shingles and are linked with nothing, not even each other.  A null id stays null
@@ -501,6 +534,11 @@ def join_similar(
         links = links.unionByName(more)
         nodes = components(links)
 
+    inside = _suffix_filter(
+        _inside(with_root, percent).join(pairs, ["a", "b"], "left_anti"), classes, percent
+    )
+    links = links.unionByName(_verified(docs, inside, classes, size, percent))
+
     named = (
         nodes.join(classes.withColumnRenamed("key", "node"), "node")
         .groupBy("root")

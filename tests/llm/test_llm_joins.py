@@ -124,6 +124,27 @@ def test_pairs_across_components_of_a_large_group(spark, monkeypatch):
     assert joined(spark, rows) == brute_members(rows)
 
 
+def test_links_inside_a_large_group_are_whole(spark, monkeypatch):
+    """Near copies of one text, more than a block: every linked pair is in links, once."""
+    monkeypatch.setattr(ngram_join, "GROUP_BLOCK", 16)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=4))
+    base, rows = [word() for _ in range(300)], []
+    for i in range(50):
+        copy = list(base)
+        for at in rng.sample(range(300), rng.randint(1, 2)):
+            copy[at] = word()
+        rows.append((i, " ".join(copy)))
+    sets = [(text_key(t.encode()), shingles(t)) for _, t in rows]
+    want = sorted(
+        tuple(sorted((k, m))) for i, (k, a) in enumerate(sets) for m, b in sets[:i]
+        if k != m and 100 * len(a & b) >= 80 * len(a | b)
+    )
+    assert len(want) > 500
+    _, links = ngram_join.join_similar(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, links.select("a", "b").collect())) == want
+
+
 def test_join_of_nothing(spark):
     assert joined(spark, []) == []
 
