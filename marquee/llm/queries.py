@@ -15,6 +15,7 @@ from . import (
     fourier_quality,
     gru_langid,
     harmonic_packing,
+    merkle_manifest,
     ngram_join,
     projection_dedup,
     spaced_seeds,
@@ -249,6 +250,96 @@ def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", F.coalesce(part == 2, F.lit(False)))
 
 
+MERKLE_SQL = r"""
+WITH RECURSIVE odd AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    -- the last bit of crc32, over the bits of the decimal id
+    (xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+        range(0, CAST(length(CAST(doc_id AS VARCHAR)) AS BIGINT)),
+        lambda i: [CAST(unicode(substr(CAST(doc_id AS VARCHAR), CAST(i + 1 AS INT), 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) & 1) = 1 AS is_odd
+  FROM documents),
+records AS (
+  SELECT *, CASE WHEN is_odd THEN text ELSE replace(text, chr(10), '') END AS edited FROM odd),
+parts AS (
+  SELECT doc_id, source, edited,
+    coalesce(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text
+  FROM records),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(edited)) || ':' || edited, '-')) AS changed
+  FROM parts),
+nodes AS (
+  SELECT source, 0 AS tier, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, leaf AS digest,
+    count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, tier + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY source, tier, pos // 3),
+tops AS (
+  SELECT 0 AS tier, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, digest, count(*) OVER () AS n, source
+  FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT tier + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 2) // 3, NULL
+  FROM tops WHERE n > 1 GROUP BY tier, pos // 3),
+steps AS (
+  SELECT a.source, a.tier, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.tier = b.tier AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY a.source, a.tier, a.pos),
+top_steps AS (
+  SELECT a.tier, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM tops a JOIN tops b ON a.tier = b.tier AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY a.tier, a.pos),
+folds AS (
+  SELECT doc_id, source, leaf, 0 AS tier, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+    changed AS f, '' AS proof FROM leaves
+  UNION ALL
+  SELECT doc_id, folds.source, leaf, folds.tier + 1, folds.pos // 3, sha256(before || f || after), proof || before || after
+  FROM folds JOIN steps s ON folds.source IS NOT DISTINCT FROM s.source AND folds.tier = s.tier AND folds.pos = s.pos),
+up AS (
+  SELECT doc_id, leaf, x.digest AS subroot, t.tier, t.pos, f, proof
+  FROM (SELECT *, max(tier) OVER (PARTITION BY doc_id) AS last FROM folds) l
+  JOIN nodes x ON x.n = 1 AND l.source IS NOT DISTINCT FROM x.source
+  JOIN tops t ON t.tier = 0 AND l.source IS NOT DISTINCT FROM t.source WHERE l.tier = l.last
+  UNION ALL
+  SELECT doc_id, leaf, subroot, up.tier + 1, up.pos // 3, sha256(before || f || after), proof || before || after
+  FROM up JOIN top_steps s ON up.tier = s.tier AND up.pos = s.pos)
+SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r.digest AS verified
+FROM (SELECT *, max(tier) OVER (PARTITION BY doc_id) AS last FROM up) u JOIN tops r ON r.n = 1 WHERE u.tier = u.last
+"""
+
+
+@query(MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest; half of them lose their line ends and are found out."""
+    docs = read(spark, sf_dir, "documents")
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    leaf = merkle_manifest.record_digest([F.col(c) for c in names])
+    edited = merkle_manifest.record_digest(
+        [F.col(c) for c in names[:-1]] + [F.replace("text", F.lit("\n"), F.lit(""))]
+    )
+    records = docs.select(
+        F.col("doc_id").alias("id"),
+        F.col("source").alias("group"),
+        leaf.alias("leaf"),
+        F.when(crc_mod("doc_id", 2) == 0, edited).alias("changed"),
+    )
+    sealed = merkle_manifest.seal(records).leaves
+    return sealed.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle_manifest.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
