@@ -19,8 +19,10 @@ from . import (
     ngram_join,
     projection_dedup,
     spaced_seeds,
+    spelling_variants,
     url_filter,
     warc_index,
+    winnowing,
 )
 from .common import crc_mod, read
 
@@ -340,6 +342,127 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WINNOW_SQL = """
+WITH base AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+linked AS (
+  SELECT *, lead(doc_id) OVER w AS following, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text,
+    first_value(doc_id) OVER w AS top
+  FROM base WINDOW w AS (ORDER BY doc_id DESC)),
+both_texts AS (
+  SELECT doc_id, 0 AS kind, text, n FROM linked
+  UNION ALL
+  SELECT doc_id, 1, changed, length(changed) FROM
+    (SELECT doc_id, left(text, n - n // 2) || left(next_text, n // 2) AS changed FROM linked)),
+codes AS (
+  SELECT doc_id, kind, n, generate_subscripts(chars, 1) - 1 AS pos, CAST(unicode(unnest(chars)) AS BIGINT) AS code
+  FROM (SELECT doc_id, kind, n, string_split(text, '') AS chars FROM both_texts WHERE n > 0)),
+two AS (SELECT doc_id, kind, n, pos, (code * 911382323 + lead(code, 1, 0) OVER w) % 2147483647 AS h
+  FROM codes WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
+four AS (SELECT doc_id, kind, n, pos, (h * {p2} + lead(h, 2, 0) OVER w) % 2147483647 AS h
+  FROM two WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
+eight AS (SELECT doc_id, kind, n, pos, (h * {p4} + lead(h, 4, 0) OVER w) % 2147483647 AS h
+  FROM four WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
+sixteen AS (SELECT doc_id, kind, greatest(n - 15, 1) AS grams, pos, (h * {p8} + lead(h, 8, 0) OVER w) % 2147483647 AS h
+  FROM eight WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
+windows AS (
+  SELECT doc_id, kind, grams, pos, min(h * 4294967296 + (4294967295 - pos)) OVER (
+    PARTITION BY doc_id, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS low
+  FROM sixteen WHERE pos < grams),
+kept AS (
+  SELECT DISTINCT doc_id, kind, low // 4294967296 AS h, 4294967295 - low % 4294967296 AS pos
+  FROM windows WHERE pos = 0 OR pos <= grams - 16),
+prints AS (
+  SELECT doc_id, kind, string_agg(h || '@' || pos, ' ' ORDER BY pos) AS print, list(DISTINCT h) AS hashes
+  FROM kept GROUP BY doc_id, kind),
+shown AS (
+  SELECT b.doc_id, b.kind, coalesce(print, '') AS print, coalesce(hashes, []) AS hashes
+  FROM both_texts b LEFT JOIN prints p ON b.doc_id = p.doc_id AND b.kind = p.kind),
+beside AS (
+  SELECT l.doc_id, l.n, sha256(changed.text) AS edited_sha256, a.print AS fingerprint, e.print AS edited_fingerprint,
+    a.hashes AS own, e.hashes AS other, x.hashes AS later
+  FROM linked l JOIN both_texts changed ON changed.doc_id = l.doc_id AND changed.kind = 1
+  JOIN shown a ON a.doc_id = l.doc_id AND a.kind = 0 JOIN shown e ON e.doc_id = l.doc_id AND e.kind = 1
+  JOIN shown x ON x.doc_id = coalesce(l.following, l.top) AND x.kind = 0)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  CASE WHEN len(own) + len(other) = 0 THEN 1.0
+    ELSE len(list_intersect(own, other)) / (len(own) + len(other) - len(list_intersect(own, other))) END AS near_edited,
+  CASE WHEN len(own) + len(later) = 0 THEN 1.0
+    ELSE len(list_intersect(own, later)) / (len(own) + len(later) - len(list_intersect(own, later))) END AS near_next
+FROM beside
+""".format(**{f"p{w}": pow(winnowing.BASE, w, winnowing.PRIME) for w in (2, 4, 8)})
+
+
+@query(WINNOW_SQL)
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and what becomes of it when its end is taken from the next."""
+    docs = winnowing.with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = docs.withColumn("changed", winnowing.edited(F.col("text"), F.col("next_text")))
+    prints = docs.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("changed", 256).alias("edited_sha256"),
+        winnowing.fingerprint(F.col("text")).alias("kept"),
+        winnowing.fingerprint(F.col("changed")).alias("changed_kept"),
+        winnowing.hashes(winnowing.fingerprint(F.col("next_text"))).alias("later"),
+    )
+    sets = prints.withColumns(
+        {"own": winnowing.hashes(F.col("kept")), "other": winnowing.hashes(F.col("changed_kept"))}
+    )
+    return sets.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        winnowing.as_text(F.col("kept")).alias("fingerprint"),
+        winnowing.as_text(F.col("changed_kept")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("own"), F.col("other")).alias("near_edited"),
+        winnowing.likeness(F.col("own"), F.col("later")).alias("near_next"),
+    )
+
+
+VARIANTS_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+marked AS (
+  SELECT run, k, length(run) AS long, hex(encode(doc_id || ':' || run)) AS bytes FROM runs),
+hashed AS (
+  SELECT run, k, long, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(0, length(bytes) // 2),
+      lambda i: [CAST('0x' || substr(bytes, 2 * i + 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) AS h
+  FROM marked),
+typed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % long) || substr(run, h % long + 2) ELSE run END AS word, k FROM hashed),
+words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cuts AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON c.cut = w.word
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.cut = w.word),
+ranked AS (
+  SELECT near.word, other, m.n AS m, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY m.n DESC, other) AS place
+  FROM near JOIN words m ON m.word = other),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form,
+    CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1),
+ways AS (
+  SELECT word, word AS root, 0 AS long FROM forms
+  UNION ALL SELECT ways.word, form, long + 1 FROM ways JOIN forms ON ways.root = forms.word WHERE form IS NOT NULL)
+SELECT word, form, (SELECT max_by(root, long) FROM ways WHERE ways.word = forms.word) AS root, n, n_near, form_n FROM forms
+"""
+
+
+@query(VARIANTS_SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with the more frequent word it may be a spelling of."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling_variants.group_variants(spelling_variants.count_words(docs))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -19,7 +19,7 @@ def test_equals_oracle(spark, sf_dir, name):
     assert not problem
 
 
-@pytest.mark.parametrize("name", ["op1_url_filter", "op6_chat_format", "op8_spaced_seeds"])
+@pytest.mark.parametrize("name", ["op1_url_filter", "op6_chat_format", "op8_spaced_seeds", "op12_winnowing"])
 def test_native_plans_have_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
     for operator in ("Python", "Pandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoop"):
