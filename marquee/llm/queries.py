@@ -342,7 +342,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-WINNOW_SQL = """
+WINNOW_SQL = r"""
 WITH base AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
 linked AS (
   SELECT *, lead(doc_id) OVER w AS following, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text,
@@ -354,23 +354,20 @@ both_texts AS (
   SELECT doc_id, 1, changed, length(changed) FROM
     (SELECT doc_id, left(text, n - n // 2) || left(next_text, n // 2) AS changed FROM linked)),
 codes AS (
-  SELECT doc_id, kind, n, generate_subscripts(chars, 1) - 1 AS pos, CAST(unicode(unnest(chars)) AS BIGINT) AS code
-  FROM (SELECT doc_id, kind, n, string_split(text, '') AS chars FROM both_texts WHERE n > 0)),
-two AS (SELECT doc_id, kind, n, pos, (code * 911382323 + lead(code, 1, 0) OVER w) % 2147483647 AS h
+  SELECT doc_id, kind, len(words) AS n, generate_subscripts(words, 1) - 1 AS pos,
+    CAST('0x' || left(md5(unnest(words)), 7) AS BIGINT) AS code
+  FROM (SELECT doc_id, kind, regexp_extract_all(text, '[^\x20\x09-\x0D]{{1,32}}') AS words FROM both_texts)),
+grams AS (
+  SELECT doc_id, kind, greatest(n - 2, 1) AS grams, pos,
+    (code * {p2} + lead(code, 1, 0) OVER w * {p1} + lead(code, 2, 0) OVER w) % 2147483647 AS h
   FROM codes WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
-four AS (SELECT doc_id, kind, n, pos, (h * {p2} + lead(h, 2, 0) OVER w) % 2147483647 AS h
-  FROM two WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
-eight AS (SELECT doc_id, kind, n, pos, (h * {p4} + lead(h, 4, 0) OVER w) % 2147483647 AS h
-  FROM four WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
-sixteen AS (SELECT doc_id, kind, greatest(n - 15, 1) AS grams, pos, (h * {p8} + lead(h, 8, 0) OVER w) % 2147483647 AS h
-  FROM eight WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
 windows AS (
-  SELECT doc_id, kind, grams, pos, min(h * 4294967296 + (4294967295 - pos)) OVER (
-    PARTITION BY doc_id, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS low
-  FROM sixteen WHERE pos < grams),
+  SELECT doc_id, kind, grams, pos, min(h * 2147483648 + (2147483647 - pos)) OVER (
+    PARTITION BY doc_id, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS low
+  FROM grams WHERE pos < grams),
 kept AS (
-  SELECT DISTINCT doc_id, kind, low // 4294967296 AS h, 4294967295 - low % 4294967296 AS pos
-  FROM windows WHERE pos = 0 OR pos <= grams - 16),
+  SELECT DISTINCT doc_id, kind, low // 2147483648 AS h, 2147483647 - low % 2147483648 AS pos
+  FROM windows WHERE pos = 0 OR pos <= grams - 4),
 prints AS (
   SELECT doc_id, kind, string_agg(h || '@' || pos, ' ' ORDER BY pos) AS print, list(DISTINCT h) AS hashes
   FROM kept GROUP BY doc_id, kind),
@@ -378,32 +375,33 @@ shown AS (
   SELECT b.doc_id, b.kind, coalesce(print, '') AS print, coalesce(hashes, []) AS hashes
   FROM both_texts b LEFT JOIN prints p ON b.doc_id = p.doc_id AND b.kind = p.kind),
 beside AS (
-  SELECT l.doc_id, l.n, sha256(changed.text) AS edited_sha256, a.print AS fingerprint, e.print AS edited_fingerprint,
+  SELECT l.doc_id, l.n, sha256(changed.text) AS edited_sha256, coalesce(l.following, l.top) AS next_id, a.print AS fingerprint, e.print AS edited_fingerprint,
     a.hashes AS own, e.hashes AS other, x.hashes AS later
   FROM linked l JOIN both_texts changed ON changed.doc_id = l.doc_id AND changed.kind = 1
   JOIN shown a ON a.doc_id = l.doc_id AND a.kind = 0 JOIN shown e ON e.doc_id = l.doc_id AND e.kind = 1
   JOIN shown x ON x.doc_id = coalesce(l.following, l.top) AND x.kind = 0)
-SELECT doc_id, CAST(n AS BIGINT) AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, edited_sha256, next_id, fingerprint, edited_fingerprint,
   CASE WHEN len(own) + len(other) = 0 THEN 1.0
     ELSE len(list_intersect(own, other)) / (len(own) + len(other) - len(list_intersect(own, other))) END AS near_edited,
   CASE WHEN len(own) + len(later) = 0 THEN 1.0
     ELSE len(list_intersect(own, later)) / (len(own) + len(later) - len(list_intersect(own, later))) END AS near_next
 FROM beside
-""".format(**{f"p{w}": pow(winnowing.BASE, w, winnowing.PRIME) for w in (2, 4, 8)})
+""".format(**{f"p{w}": pow(winnowing.BASE, w, winnowing.PRIME) for w in (1, 2)})
 
 
 @query(WINNOW_SQL)
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every document and what becomes of it when its end is taken from the next."""
     docs = winnowing.with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
-    docs = docs.withColumn("changed", winnowing.edited(F.col("text"), F.col("next_text")))
+    docs = docs.withColumn("changed", winnowing.edited(F.col("text"), F.col("next_head")))
     prints = docs.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("changed", 256).alias("edited_sha256"),
+        "next_id",
+        "next_hashes",
         winnowing.fingerprint(F.col("text")).alias("kept"),
         winnowing.fingerprint(F.col("changed")).alias("changed_kept"),
-        winnowing.hashes(winnowing.fingerprint(F.col("next_text"))).alias("later"),
     )
     sets = prints.withColumns(
         {"own": winnowing.hashes(F.col("kept")), "other": winnowing.hashes(F.col("changed_kept"))}
@@ -415,7 +413,8 @@ def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnowing.as_text(F.col("kept")).alias("fingerprint"),
         winnowing.as_text(F.col("changed_kept")).alias("edited_fingerprint"),
         winnowing.likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        winnowing.likeness(F.col("own"), F.col("later")).alias("near_next"),
+        winnowing.likeness(F.col("own"), F.col("next_hashes")).alias("near_next"),
+        "next_id",
     )
 
 

@@ -155,9 +155,11 @@ def test_places_in_groups_with_a_hot_group(spark):
 
 
 def kept_by_hand(text):
-    if not text:
+    words = winnowing_words(text or "")
+    if not words:
         return []
-    codes = [ord(c) for c in text] + [0] * (winnowing.GRAM - len(text))
+    codes = [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words]
+    codes += [0] * (winnowing.GRAM - len(codes))
     grams = []
     for i in range(len(codes) - winnowing.GRAM + 1):
         value = 0
@@ -172,14 +174,18 @@ def kept_by_hand(text):
     return sorted(kept)
 
 
+def winnowing_words(text):
+    words = []
+    for run in text.replace("\t", " ").replace("\n", " ").split(" "):
+        words += [run[i : i + winnowing.LONGEST] for i in range(0, len(run), winnowing.LONGEST)]
+    return words
+
+
 def texts_for_winnowing():
     rng = random.Random(3)
-    letters = "abcdefg éß😀\n"
-    some = ["".join(rng.choices(letters, k=n)) for n in (1, 2, 15, 16, 17, 30, 31, 32, 33, 700)]
-    long = "".join(rng.choices(letters, k=3 * winnowing.CHUNK + 17))
-    edge = winnowing.CHUNK
-    cut = [long[:n] for n in (edge - 1, edge, edge + 1, edge + 15, edge + 29, edge + 30, edge + 31, 2 * edge)]
-    return [None, "", "a" * 500, "ab" * 3000, *some, long, *cut]
+    stock = ["a", "b", "ß", "😀", "word", "x" * 70, "é" * 33, "\u00a0"]
+    some = [rng.choice(" \n\t").join(rng.choices(stock, k=n)) for n in (*range(1, 12), 300, 3000)]
+    return [None, "", " \n", "a " * 500, "ab " * 3000, "字" * 5000, " lead", *some]
 
 
 def test_fingerprints_equal_plain_python(spark):
@@ -190,16 +196,16 @@ def test_fingerprints_equal_plain_python(spark):
         kept = [(v >> winnowing.HASH_BITS, v & winnowing.PRIME) for v in r["k"]]
         assert kept == kept_by_hand(texts[r["i"]]), r["i"]
     shown = frame.select(winnowing.as_text(winnowing.fingerprint(F.col("t"))).alias("s")).collect()
-    assert shown[0]["s"] == shown[1]["s"] == "" and shown[2]["s"].count("@") == len(kept_by_hand("a" * 500))
+    assert shown[0]["s"] == shown[1]["s"] == "" and shown[3]["s"].count("@") == len(kept_by_hand("a " * 500))
 
 
 def test_common_passages_are_always_found(spark):
     rng = random.Random(5)
     rows = []
-    for i in range(60):
-        shared = "".join(rng.choices("abcdef ", k=winnowing.GRAM + winnowing.WINDOW - 1))
-        left, right = ("".join(rng.choices("uvwxyz", k=rng.randrange(300))) for _ in range(2))
-        rows.append((left + shared + right[:50], right + shared))
+    for i in range(200):
+        shared = rng.choices(["the", "of", "and", "a"], k=winnowing.GRAM + winnowing.WINDOW - 1)
+        left, right = ([f"{c}{rng.random()}" for _ in range(rng.randrange(30))] for c in "xy")
+        rows.append((" ".join(left + shared + right[:5]), " ".join(right + shared)))
     kept = [winnowing.hashes(winnowing.fingerprint(F.col(c))) for c in ("a", "b")]
     found = spark.createDataFrame(rows, "a string, b string").select(F.arrays_overlap(*kept).alias("x"))
     assert all(r["x"] for r in found.collect())
@@ -208,11 +214,11 @@ def test_common_passages_are_always_found(spark):
 def test_next_documents(spark, tmp_path):
     rows = [(5, "five five", None, None, 0), (9, None, None, None, 0), (1, "one", None, None, 0),
             (None, "no id", None, None, 0), (5, "five five", None, None, 0)]
-    docs = spark.createDataFrame(rows, DOCS).withColumn("next_text", F.lit("clash")).withColumn("key", F.lit(1))
-    got = sorted(((r["doc_id"], r["text"], r["next_text"]) for r in winnowing.with_next(docs).collect()), key=repr)
-    assert got == sorted(
-        [(9, "", "five five"), (5, "five five", "one"), (5, "five five", "one"), (1, "one", "no id"),
-         (None, "no id", "")], key=repr)
+    docs = spark.createDataFrame(rows, DOCS).withColumn("next_head", F.lit("clash")).withColumn("key", F.lit(1))
+    got = winnowing.with_next(docs).select("doc_id", "text", "next_id", "next_head").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(9, "", 5, ""), (5, "five five", 1, "one"), (5, "five five", 1, "one"), (1, "one", None, "n"),
+         (None, "no id", 9, "")], key=repr)
     changed = {
         r["doc_id"]: r["edited_sha256"]
         for r in queries.op12_winnowing(spark, tables(tmp_path / "some", spark, rows)).collect()
@@ -226,11 +232,19 @@ def test_next_documents(spark, tmp_path):
 def test_next_documents_over_many_ranges(spark):
     ids = random.Random(2).sample(range(10**6), 3000)
     docs = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string").repartition(40)
-    got = {r["doc_id"]: int(r["next_text"]) for r in winnowing.with_next(docs).collect()}
+    got = {r["doc_id"]: r["next_id"] for r in winnowing.with_next(docs).collect()}
     ids.sort(reverse=True)
     assert got == dict(zip(ids, [*ids[1:], ids[0]]))
 
 
+def test_texts_are_shuffled_twice_at_most(spark, sf_dir):
+    frame = queries.op12_winnowing(spark, sf_dir)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    wide = [line for line in plan.splitlines() if " Exchange " in line]
+    assert "ReusedExchange" in plan and len(wide) <= 4
+
+
 def is_near(a, b):
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b)) == 1
