@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
-from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUARTILES = (0.25, 0.5, 0.75)
+from marquee.operators import quantiles as q
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -46,7 +42,21 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     If all columns are integers the extremes are 64-bit integers and exact;
     beside a fractional column they are doubles, exact up to 2^53.
     """
-    return _statistics(df, columns, quartiles=False, accuracy=0)
+    columns, kind = _numeric(df, columns)
+    measures, rows = [], []
+    for i, name in enumerate(columns):
+        c, double = _named(name).cast(kind), _named(name).cast("double")
+        stats = {
+            "count": F.count(c),
+            "mean": F.avg(double),
+            "stddev": F.stddev_samp(double),
+            "min": F.min(c),
+            "max": F.max(c),
+        }
+        measures += [value.alias(f"{stat}_{i}") for stat, value in stats.items()]
+        fields = [F.col(f"{stat}_{i}").alias(stat) for stat in stats]
+        rows.append(F.struct(F.lit(name).alias("column"), *fields))
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
 
 
 def summary(
@@ -54,148 +64,93 @@ def summary(
 ) -> DataFrame:
     """``describe`` and the quartiles, to a rank error of 1 / ``accuracy``.
 
-    The default is Spark's own.  Every scan task sends a sketch of at most some
-    ten thousand values to the last one, so that one's work grows with their
-    number.  ``None`` gives exact quartiles, at the price of a few more passes
-    (see ``exact_quantiles``).
-    """
-    return _statistics(df, columns, quartiles=True, accuracy=accuracy)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float] = QUARTILES,
-    bins: int = 8192,
-) -> dict[str, list[float | int | None]]:
-    """Per numeric column, the values at the ranks ceil(p * n); NULL and NaN are left out.
-
-    Every pass counts the values of the open intervals in ``bins`` parts and
-    keeps the parts that hold a wanted rank, with the least and greatest value
-    *seen* there as the next ends, until each holds one value.  The first pass
-    cuts by magnitude, so widely spread values and infinities do no harm; the
-    later ones cut evenly, and an interval whose ends differ always splits.  A
-    double has 64 bits, so a handful of passes do on any distribution;
-    integers are compared as integers, also above 2^53.  A pass is one scan
-    for all columns and an aggregate of at most ``bins`` rows per interval.
+    One pass: every scan task sends one row with a sketch per column, and these
+    are merged in two levels.  A table of up to 32,767 known values has exact
+    quartiles at the default accuracy; the sketch's error is met with 99 %
+    confidence above.  ``None`` gives exact quartiles at once, at the price of
+    a second pass and, above 10^8 rows, one or two more (``quantiles.select_exact``).
     """
-    whole = {
-        f.name: isinstance(f.dataType, _INTEGERS) for f in df.schema.fields if f.name in set(columns)
-    }
-    typed = df.select(
-        *(
-            _named(c).cast("long" if whole[c] else "double").alias(f"v{i}")
-            for i, c in enumerate(columns)
-        )
-    )
-    known = [F.when(~F.isnan(f"v{i}"), F.col(f"v{i}")) if not whole[c] else F.col(f"v{i}") for i, c in enumerate(columns)]
-    typed = typed.select(*(v.alias(f"v{i}") for i, v in enumerate(known)))
-    ends = typed.agg(
-        *(f(f"v{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in _ENDS.items())
-    ).first()
-    intervals, found = [], {}
-    for i, c in enumerate(columns):
-        ranks = [max(math.ceil(p * ends[f"n{i}"]), 1) for p in probabilities]
-        if ends[f"n{i}"]:
-            intervals.append(_Interval(i, whole[c], ends[f"low{i}"], ends[f"high{i}"], 0, ranks))
-    wanted = {i.column: i.ranks for i in intervals}
-    by_magnitude = True
-    while intervals:
-        found |= {(i.column, r): i.low for i in intervals if i.low == i.high for r in i.ranks}
-        intervals = [i for i in intervals if i.low < i.high]
-        if intervals:
-            intervals = _narrow(typed, intervals, bins, by_magnitude)
-            by_magnitude = False
-    return {c: [found.get((i, r)) for r in wanted.get(i, [0] * len(probabilities))] for i, c in enumerate(columns)}
-
-
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_ENDS = {"n": F.count, "low": F.min, "high": F.max}
-
-
-class _Interval(NamedTuple):
-    """Values of a column in ``[low, high]``, with ``before`` smaller ones."""
-
-    column: int
-    whole: bool
-    low: float | int
-    high: float | int
-    before: int
-    ranks: list[int]
-
-
-def _place(i: _Interval, v: Column, bins: int, by_magnitude: bool) -> Column:
-    """The part a value of the interval is in: never falling, and 0 and bins - 1 at the ends."""
-    if i.whole and i.high - i.low < bins:
-        return v - F.lit(i.low)
-    if i.whole and i.high - i.low < 1 << 53:
-        share = (v - F.lit(i.low)).cast("double") / float(i.high - i.low)
+    columns, kind = _numeric(df, columns)
+    partial: dict[str, Column] = {}
+    final: dict[str, Column] = {}
+    for i, name in enumerate(columns):
+        c, double = _named(name).cast(kind), _named(name).cast("double")
+        partial |= {
+            f"count_{i}": F.count(c),
+            f"sum_{i}": F.sum(double),
+            f"spread_{i}": F.struct(F.count(double).alias("n"), F.avg(double).alias("mean"), F.var_pop(double).alias("var")),
+            f"min_{i}": F.min(c),
+            f"max_{i}": F.max(c),
+        }
+        final |= {
+            f"count_{i}": F.coalesce(F.sum(f"count_{i}"), F.lit(0).cast("long")),
+            f"mean_{i}": F.try_divide(F.sum(f"sum_{i}"), F.sum(f"count_{i}")),
+            # One entry for each group of scan tasks.
+            f"parts_{i}": F.collect_list(f"spread_{i}"),
+            f"min_{i}": F.min(f"min_{i}"),
+            f"max_{i}": F.max(f"max_{i}"),
+        }
+    if accuracy is None:
+        exact, one = q.select_exact(df, columns, partial, final)
+        quartiles = [[F.lit(v).cast(kind) for v in exact[name]] for name in columns]
     else:
-        v, low, high = v.cast("double"), float(i.low), float(i.high)
-        if by_magnitude or math.isinf(low) or math.isinf(high):
-            v, low, high = _magnitude(v), _magnitude_of(low), _magnitude_of(high)
-        if low == high:
-            # Too close for this scale: the lowest value apart from the rest.
-            return F.when(F.col(f"v{i.column}") == F.lit(i.low), 0).otherwise(bins - 1).cast("long")
-        # Halves, so that the difference of two large doubles stays finite.
-        share = (v / 2 - low / 2) / (high / 2 - low / 2)
-    part = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins - 1))
-    # Rounding may not put the ends together.
-    c = F.col(f"v{i.column}")
-    return F.when(c == F.lit(i.low), 0).when(c == F.lit(i.high), bins - 1).otherwise(part)
-
-
-def _magnitude(v: Column) -> Column:
-    """Grows with v: its sign times the exponent, counted from the smallest double's."""
-    size = F.abs(v)
-    exponent = F.when(size == 0, 0.0).when(size == float("inf"), 3000.0).otherwise(F.log2(size) + 1076)
-    return F.signum(v) * exponent
-
-
-def _magnitude_of(v: float) -> float:
-    size = abs(v)
-    exponent = 0.0 if size == 0 else 3000.0 if math.isinf(size) else math.log2(size) + 1076
-    return math.copysign(exponent, v) if v else 0.0
-
-
-def _narrow(typed: DataFrame, intervals: list[_Interval], bins: int, by_magnitude: bool) -> list[_Interval]:
-    """The parts of the intervals that hold their ranks."""
-    hits = []
-    for k, i in enumerate(intervals):
-        v = F.col(f"v{i.column}")
-        value = F.struct(
-            F.lit(k).alias("slot"),
-            _place(i, v, bins, by_magnitude).cast("long").alias("part"),
-            (v if i.whole else F.lit(None)).cast("long").alias("w"),
-            (F.lit(None) if i.whole else v).cast("double").alias("d"),
-        )
-        hits.append(F.when(v.between(F.lit(i.low), F.lit(i.high)), value))
-    counted = (
-        typed.select(F.inline(F.array_compact(F.array(*hits))))
-        .groupBy("slot", "part")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *(f(c).alias(f"{n}_{c}") for c in ("w", "d") for n, f in (("low", F.min), ("high", F.max))),
+        size = q.sketch_size(accuracy)
+        sketches = [q.Sketched(f"s{i}", q.known(df, c), q.is_whole(df, c), size) for i, c in enumerate(columns)]
+        for sketch in sketches:
+            partial |= sketch.partial
+            final |= sketch.final
+        one = q.merged(df, partial, final)
+        quartiles = [
+            [F.get(s.at(q.QUARTILES), F.lit(j)).cast(kind) for j in range(len(q.QUARTILES))] for s in sketches
+        ]
+    rows = []
+    for i, name in enumerate(columns):
+        shares = [f"p{int(p * 100)}" for p in q.QUARTILES]
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                *(F.col(f"{stat}_{i}").alias(stat) for stat in ("count", "mean")),
+                _deviation(F.col(f"parts_{i}"), F.col(f"mean_{i}"), F.col(f"count_{i}")).alias("stddev"),
+                *(F.col(f"{stat}_{i}").alias(stat) for stat in ("min", "max")),
+                *(v.alias(p) for v, p in zip(quartiles[i], shares)),
+            )
         )
+    return one.select(F.inline(F.array(*rows)))
+
+
+def rank_errors(df: DataFrame, summarised: DataFrame) -> DataFrame:
+    """By how much the quartiles of ``summary`` miss their ranks: ``column, quartile, known, error``.
+
+    ``error`` is a share of the known values, 0 where the quartile is exact; one pass over ``df``.
+    NaN is greater than all other values here, as in any comparison.
+    """
+    measures, rows = [], []
+    for i, r in enumerate(summarised.collect()):  # one row per column
+        c = _named(r["column"])
+        measures.append(F.count(c).alias(f"n{i}"))
+        for p in q.QUARTILES:
+            name = f"p{int(p * 100)}"
+            value = F.lit(r[name])
+            measures += [F.count_if(c < value).alias(f"{name}_below{i}"), F.count_if(c <= value).alias(f"{name}_upto{i}")]
+            n = F.col(f"n{i}")
+            misses = F.try_divide(F.col(f"{name}_below{i}"), n) - p, p - F.try_divide(F.col(f"{name}_upto{i}"), n)
+            error = F.greatest(F.lit(0.0), *misses).alias("error")
+            rows.append(
+                F.struct(F.lit(r["column"]).alias("column"), F.lit(name).alias("quartile"), n.alias("known"), error)
+            )
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def _deviation(parts: Column, mean: Column, n: Column) -> Column:
+    """The sample deviation of parts of which each has its number, mean and variance."""
+    squares = F.aggregate(
+        parts,
+        F.lit(0.0),
+        lambda total, p: F.when(p["n"] == 0, total).otherwise(
+            total + p["n"] * (p["var"] + (p["mean"] - mean) * (p["mean"] - mean))
+        ),
     )
-    wanted = []
-    for k, i in enumerate(intervals):
-        for r in sorted(set(i.ranks)):
-            upto = F.col("upto") + i.before
-            wanted.append((F.col("slot") == k) & (upto >= r) & (upto - F.col("n") < r))
-    running = F.sum("n").over(Window.partitionBy("slot").orderBy("part"))
-    narrowed = []
-    for hit in counted.withColumn("upto", running).filter(reduce(or_, wanted)).collect():
-        i = intervals[hit["slot"]]
-        kind = "w" if i.whole else "d"
-        low, high = hit[f"low_{kind}"], hit[f"high_{kind}"]
-        if (low, high) == (i.low, i.high):
-            raise ArithmeticError(f"the interval from {low} to {high} does not split")
-        last = i.before + hit["upto"]
-        before = last - hit["n"]
-        own = [r for r in i.ranks if before < r <= last]
-        narrowed.append(_Interval(i.column, i.whole, low, high, before, own))
-    return narrowed
+    return F.when(n > 1, F.sqrt(squares / (n - 1)))
 
 
 def correlation(
@@ -223,40 +178,14 @@ def pearson(left: str, right: str, nulls: str = "zero") -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
-def _statistics(
-    df: DataFrame, columns: Sequence[str] | None, quartiles: bool, accuracy: int | None
-) -> DataFrame:
+def _numeric(df: DataFrame, columns: Sequence[str] | None) -> tuple[list[str], str]:
+    """The columns, and the type of their extremes.
+
+    Integers alone keep their type; beside fractions all are doubles.
+    """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    # Integers alone keep their type; beside fractions all are doubles.
-    kind = "long" if all(isinstance(kinds[c], _INTEGERS) for c in columns) else "double"
-    exact = exact_quantiles(df, columns) if quartiles and accuracy is None else {}
-    measures, rows = [], []
-    for i, name in enumerate(columns):
-        c, double = _named(name).cast(kind), _named(name).cast("double")
-        stats = {
-            "count": F.count(c),
-            "mean": F.avg(double),
-            "stddev": F.stddev_samp(double),
-            "min": F.min(c),
-            "max": F.max(c),
-        }
-        if quartiles and accuracy is not None:
-            stats["q"] = F.percentile_approx(c, list(QUARTILES), accuracy)
-        elif quartiles:
-            known = [F.lit(q).cast(kind) for q in exact[name]]
-            stats["q"] = F.any_value(F.array(*known))
-        measures += [value.alias(f"{stat}_{i}") for stat, value in stats.items()]
-        fields = [F.lit(name).alias("column")]
-        fields += [F.col(f"{stat}_{i}").alias(stat) for stat in stats if stat != "q"]
-        if quartiles:
-            fields += [
-                F.get(F.col(f"q_{i}"), F.lit(j)).alias(f"p{int(q * 100)}")
-                for j, q in enumerate(QUARTILES)
-            ]
-        rows.append(F.struct(*fields))
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    return list(columns), "long" if all(q.is_whole(df, c) for c in columns) else "double"
 
 
 def _named(name: str) -> Column:

@@ -20,14 +20,15 @@ from marquee.operators.columns import (
 )
 from marquee.operators.encode import split_train_test, topk_categories, topk_onehot, topk_values
 from marquee.operators.lookup import fits_in_map, lookup_array_dim
+from marquee.operators import quantiles
 from marquee.operators.profile import (
     correlation,
     describe,
-    exact_quantiles,
     null_profile,
     schema_profile,
     summary,
 )
+from marquee.operators.quantiles import exact_quantiles
 from marquee.operators.setops import dedup_rows, distinct_count, union_all
 from marquee.plans.eda import age_group
 from marquee.plans.features import SCORE_BOUNDS, SCORE_OTHERWISE
@@ -328,8 +329,8 @@ def test_random_split(spark):
     assert train.count() + test.count() == 1000
 
 
-@pytest.mark.parametrize("bins", [2, 3, 4096])
-def test_exact_quantiles_against_sorting(spark, bins):
+@pytest.mark.parametrize("size", [64, 1000, quantiles.LARGEST])
+def test_exact_quantiles_against_sorting(spark, size):
     """A third of the values are one number; outliers stretch the range."""
     rng = random.Random(7)
     rows = [5.0] * 1000 + [rng.gauss(0, 1) for _ in range(1990)] + [1e12, -1e9, *[0.1] * 8]
@@ -340,7 +341,7 @@ def test_exact_quantiles_against_sorting(spark, bins):
     at = [max(math.ceil(p * len(rows)), 1) - 1 for p in probabilities]
     want = [ordered[i] for i in at]
     mirrored = [-ordered[-1 - i] for i in at]
-    assert exact_quantiles(df, ["x", "y"], probabilities, bins) == {"x": want, "y": mirrored}
+    assert exact_quantiles(df, ["x", "y"], probabilities, size) == {"x": want, "y": mirrored}
 
 
 def test_exact_quantiles_of_nothing_and_of_one_value(spark):
@@ -353,9 +354,41 @@ def test_exact_quantiles_of_nothing_and_of_one_value(spark):
 
 
 def test_approximate_quartiles_are_within_the_rank_error(spark):
-    df = spark.range(100_000).selectExpr("cast(id as double) x")
-    for q, p in zip((25_000, 50_000, 75_000), ("p25", "p50", "p75")):
-        assert abs(summary(df, ["x"]).first()[p] - q) <= 100_000 / 10_000 + 1
+    df = spark.range(300_000).selectExpr("cast(id as double) x").repartition(20)
+    for accuracy in (10_000, 200):
+        row = summary(df, ["x"], accuracy).first()
+        for share, p in zip((0.25, 0.5, 0.75), ("p25", "p50", "p75")):
+            assert abs(row[p] - share * 300_000) <= 2 * 300_000 / accuracy + 1
+    few = summary(spark.range(9), ["id"]).first()
+    assert (few["count"], few["p25"], few["p50"], few["p75"], few["max"]) == (9, 2, 4, 6, 8)
+
+
+def test_summary_matches_sparks_statistics_over_many_partitions(spark):
+    df = spark.range(5000).selectExpr("IF(id % 7 = 0, NULL, 1e9 + id % 100) AS x", "CAST(NULL AS DOUBLE) AS y")
+    for accuracy in (10_000, None):
+        ours = {r["column"]: r for r in summary(df.repartition(30), accuracy=accuracy).collect()}
+        theirs = df.agg(F.count("x"), F.avg("x"), F.stddev_samp("x"), F.min("x"), F.max("x")).first()
+        for name, value in zip(("count", "mean", "stddev", "min", "max"), theirs):
+            assert ours["x"][name] == pytest.approx(value, rel=1e-9)
+        assert ours["y"]["count"] == 0
+        assert all(ours["y"][c] is None for c in ("mean", "stddev", "min", "max", "p25", "p50"))
+
+
+def test_quartiles_take_two_passes_and_copy_no_rows(spark, monkeypatch):
+    passes = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    df = spark.range(400_000).select(
+        F.xxhash64("id").alias("x"), (F.col("id") % 3).alias("y"), F.lit(7.5).alias("z")
+    )
+    exact = exact_quantiles(df, ["x", "y", "z"])
+    assert len(passes) == 1  # after the first
+    ordered = sorted(values(df, "x"))
+    assert exact["x"] == [ordered[100_000 - 1], ordered[200_000 - 1], ordered[300_000 - 1]]
+    assert exact["y"] == [0, 1, 2] and exact["z"] == [7.5] * 3
+    plan = quantiles.merged(df, {"n": F.count("x")}, {"n": F.sum("n")})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and "Expand" not in text
 
 
 INF = float("inf")
@@ -376,12 +409,13 @@ INF = float("inf")
 )
 def test_exact_quantiles_of_any_distribution(spark, monkeypatch, kind, values):
     passes = []
-    narrow = prof._narrow
-    monkeypatch.setattr(prof, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
     df = spark.createDataFrame([(v,) for v in values], f"x {kind}")
     known = sorted(v for v in values if v is not None and v == v)
-    expected = [known[max(math.ceil(p * len(known)), 1) - 1] for p in prof.QUARTILES]
-    assert prof.exact_quantiles(df, ["x"], bins=64)["x"] == expected
+    expected = [known[max(math.ceil(p * len(known)), 1) - 1] for p in quantiles.QUARTILES]
+    for size in (64, quantiles.LARGEST):
+        assert exact_quantiles(df, ["x"], size=size)["x"] == expected
     assert len(passes) <= 12
 
 

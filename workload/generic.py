@@ -601,6 +601,33 @@ def agg_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(prof.summary(table(spark, sf_dir, "lineitem"), SUMMARIZED, accuracy=None), 4)
 
 
+@register("agg_summary_default", describe_sql(LINE_NUMBERS, "lineitem", quartiles=True))
+def agg_summary_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``summary`` is called without further arguments: quartiles by sketches.
+
+    The SQL has the quartiles themselves: a column with few values has a value at every rank
+    within the sketch's error, and up to 65,535 rows the sketch keeps all values.
+    """
+    return rounded(prof.summary(table(spark, sf_dir, "lineitem"), LINE_NUMBERS), 4)
+
+
+@register(
+    "agg_summary_rank_error",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", 'p{p}' AS quartile, count({c}) AS known, true AS within"
+        f" FROM lineitem"
+        for c in LINE_NUMBERS
+        for p in (25, 50, 75)
+    ),
+)
+def agg_summary_rank_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranks that the default quartiles really have: counted over the whole table."""
+    lines = table(spark, sf_dir, "lineitem")
+    return prof.rank_errors(lines, prof.summary(lines, LINE_NUMBERS)).select(
+        "column", "quartile", "known", (F.col("error") <= 1 / 10_000).alias("within")
+    )
+
+
 @register(
     "agg_corr",
     """SELECT round(corr(coalesce(quality, 0), coalesce(toxic, 0)), 6) AS zero,
