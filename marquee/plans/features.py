@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import (
     age_years,
     bucketize,
+    date_or_null,
     date_parts,
     differs_flag,
     english_list,
@@ -62,6 +63,37 @@ def engineer_features(
     )
 
 
+def processed_nulls(movies: DataFrame, genres: DataFrame, lookup: str = "auto") -> DataFrame:
+    """One row: the NULLs in every column that ``engineer_features`` would make of ``movies``.
+
+    Each derived column's NULLs follow from its source columns, so nothing is derived, staged or
+    read twice: one scan, and of a text only whether it is there.  A sentence of genres is NULL with
+    its last name, so only the last id is looked up.
+    """
+    last = F.when(F.size("genre_ids") > 0, F.array(F.element_at("genre_ids", -1)))
+    named = lookup_array_dim(movies.withColumn("__last", last), "__last", genres, out="__name", how=lookup)
+
+    def missing(c: str | Column) -> Column:
+        return F.count_if((F.col(c) if isinstance(c, str) else c).isNull())
+
+    never = F.count_if(F.lit(False))
+    undated = missing(date_or_null("release_date"))
+    # Without a maximum, or with one of 0, nothing can be normalised.
+    no_peak = F.coalesce(F.max("popularity"), F.lit(0)) == 0
+    return named.agg(
+        *(missing(c).alias(c) for c in movies.columns),
+        missing(F.try_element_at("__name", F.lit(1))).alias("genre_names"),
+        *(undated.alias(name) for name in date_parts("release_date", "release")),
+        never.alias("rating_category"),
+        F.when(no_peak, F.count(F.lit(1))).otherwise(missing("popularity")).alias("normalized_popularity"),
+        missing("overview").alias("overview_length"),
+        missing("poster_path").alias("poster_url"),
+        missing("backdrop_path").alias("backdrop_url"),
+        never.alias("is_remake"),
+        undated.alias("movie_age"),
+    )
+
+
 def build_movies_processed(
     spark: SparkSession,
     lake: LakePaths,

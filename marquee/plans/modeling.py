@@ -237,6 +237,22 @@ def tune(
     return Fitted(name, fitted.model, fitted.metrics, search)
 
 
+def fold_sizes(train: DataFrame, folds: int, key: str = "id") -> DataFrame:
+    """``fold, n_fitted, n_held`` of a search over ``train``: one aggregate."""
+    fold = hash_bucket(key, folds, salt="fold:")
+    held = [F.count_if(fold == i).alias(f"n{i}") for i in range(folds)]
+    total = F.count(F.lit(1)).alias("total")
+    rows = [
+        F.struct(
+            F.lit(i).alias("fold"),
+            (F.col("total") - F.col(f"n{i}")).alias("n_fitted"),
+            F.col(f"n{i}").alias("n_held"),
+        )
+        for i in range(folds)
+    ]
+    return train.agg(total, *held).select(F.inline(F.array(*rows)))
+
+
 def build_models(
     spark: SparkSession,
     lake: LakePaths,

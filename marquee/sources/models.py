@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 from typing import TYPE_CHECKING
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -104,25 +108,65 @@ def select_best(runs: DataFrame, metric: str = "rmse", tie: str = "model") -> Da
 def publish_model(spark: SparkSession, lake: LakePaths, model: PipelineModel, name: str) -> int:
     """Store the model as the next version under ``name``; returns the version.
 
-    The artefact gets a folder of its own and the table's row alone makes it
-    a version, so a publisher that fails between the two blocks nothing.  Of
-    two that race for one version, both rows stay and the larger path counts.
+    The artefact gets a folder of its own, and a version is a record that is created only if there
+    is none yet: of publishers that race for a version one gets it and the others go on to the
+    next.  One that fails before its record exists has blocked nothing.
     """
-    path = lake.gold(f"models/{name}/{uuid.uuid4().hex}")
+    path = lake.gold(f"models/{quote(name, safe='')}/{uuid.uuid4().hex}")
     model.save(path)
+    kind = type(model.stages[-1]).__name__
     version = (published_models(spark, lake, name).agg(F.max("version")).first()[0] or 0) + 1
-    row = (name, version, type(model.stages[-1]).__name__, path)
-    spark.createDataFrame([row], MODEL_TABLE).coalesce(1).write.mode("append").parquet(
-        lake.gold("model_table")
-    )
+    while not _claim(spark, _record(lake, name, version), [name, version, kind, path]):
+        version += 1
     return version
 
 
+def _record(lake: LakePaths, name: str, version: int) -> str:
+    return f"{lake.gold('model_table')}/{version:08d}@{quote(name, safe='')}.json"
+
+
+def _claim(spark: SparkSession, path: str, row: list) -> bool:
+    """Create the record unless there is one; whether it is ours."""
+    text = json.dumps(dict(zip(MODEL_TABLE.names, row)))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    if fs.getUri().getScheme() == "file":
+        # A local file system creates without a check of its own that is atomic; a link is.
+        place = target.toUri().getPath()
+        draft = f"{os.path.dirname(place)}/.{uuid.uuid4().hex}"
+        with open(draft, "x", encoding="utf-8") as out:
+            out.write(text)
+        try:
+            os.link(draft, place)
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(draft)
+        return True
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in _type_of(error):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    # Where the store does not refuse to create twice, the last writer's record is there.
+    return spark.read.schema(MODEL_TABLE).json(path).first()["path"] == row[-1]
+
+
+def _type_of(error: Py4JJavaError) -> str:
+    return error.java_exception.getClass().getName()
+
+
 def published_models(
     spark: SparkSession, lake: LakePaths, name: str | None = None
 ) -> DataFrame:
     try:
-        table = spark.read.schema(MODEL_TABLE).parquet(lake.gold("model_table"))
+        table = spark.read.schema(MODEL_TABLE).json(lake.gold("model_table"))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -137,7 +181,7 @@ def load_published(
     table = published_models(spark, lake, name)
     if version is not None:
         table = table.filter(F.col("version") == version)
-    row = table.orderBy(F.col("version").desc(), F.col("path").desc()).first()
+    row = table.orderBy(F.col("version").desc()).first()
     if row is None:
         raise LookupError(f"no model {name!r}, version {version or 'any'}")
     return load_model(row["path"])

@@ -9,7 +9,8 @@ import pytest
 from marquee.lake import LakePaths
 from marquee.plans import eda
 from marquee.plans.combine import SILVER_ALL, build_all_movies, combine_feeds
-from marquee.plans.features import SILVER_PROCESSED, build_movies_processed
+from marquee.operators.profile import null_profile
+from marquee.plans.features import SILVER_PROCESSED, build_movies_processed, engineer_features, processed_nulls
 from marquee.plans.ingest import (
     FEED_TABLES,
     FEEDS,
@@ -190,6 +191,26 @@ def test_combine_ignores_feed_order_and_repeats(spark, lake):
     assert {str(r) for r in combine_feeds(feeds + feeds).collect()} == once
 
 
+def test_nulls_follow_from_the_sources(spark):
+    """The predicates over the source columns against the derived columns themselves."""
+    odd = [
+        movie(1),
+        movie(2, genre_ids=[], release_date="", overview=None),
+        movie(3, genre_ids=None, release_date="no date", poster_path=None),
+        movie(4, genre_ids=[1, 99], original_language=None, popularity=None, vote_average=None),
+        movie(5, genre_ids=[99], title=None, release_date=None),
+        movie(6, genre_ids=[99, 1], backdrop_path="/b.jpg"),
+    ]
+    genres = spark.createDataFrame([(1, "Drama"), (2, "Crime")], "id int, name string")
+    for rows in (odd, odd[:1], [movie(7, popularity=0.0)], [movie(8, popularity=None)], []):
+        movies = spark.createDataFrame([tuple(r[f.name] for f in MOVIE.fields) for r in rows], MOVIE)
+        for lookup in ("map", "join"):
+            derived = null_profile(engineer_features(movies, genres, "http://i", "2020-01-01", lookup))
+            found = processed_nulls(movies, genres, lookup)
+            assert found.columns == derived.columns
+            assert found.first() == derived.first()
+
+
 def test_two_sentinels_defeat_the_dedup(spark, tmp_path):
     """Why one sentinel is the default: the same movie survives twice."""
     lake = LakePaths(str(tmp_path / "lake"))

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import DecisionTreeRegressor
+
+from oracle import compare, connect, oracle_rows
 
 from marquee.lake import LakePaths
 from marquee.plans import modeling as ml
@@ -50,7 +54,9 @@ def test_same_seed_same_predictions(data, tree):
     assert again.metrics == tree.metrics
 
 
-@pytest.mark.parametrize(("name", "floor"), [("tree", 0.8), ("gbt", 0.8), ("forest", 0.7)])
+@pytest.mark.parametrize(
+    ("name", "floor"), [("tree", 0.8), ("gbt", 0.8), ("forest", 0.7), ("linear", 0.24), ("fm", 0.2)]
+)
 def test_label_leak_is_what_scores_well(data, name, floor):
     frame, train, test = data
     scores = {}
@@ -98,6 +104,28 @@ def test_tune_refuses_foreign_parameters(data):
         ml.tune("tree", stages, ml.regressors()["tree"], grid, train, test)
 
 
+def test_fold_sizes_are_those_of_the_search(data):
+    _, train, _ = data
+    fold = ml.hash_bucket("id", 3, salt="fold:")
+    total = train.count()
+    for r in ml.fold_sizes(train, 3).collect():
+        assert r["n_held"] == train.filter(fold == r["fold"]).count() == total - r["n_fitted"]
+
+
+def test_a_search_that_ignores_its_grid_is_noticed(spark, monkeypatch):
+    """The registered searches' points differ, so the SQL sees which point was fitted."""
+    import workload.model_queries as queries
+    from workload.registry import ORACLES
+
+    con = connect("/root/testdata/sf0.001")
+    for name in ("tune_tree", "tune_forest", "tune_gbt", "tune_fm", "tune_cv"):
+        _, rows = oracle_rows(con, ORACLES[name])
+        assert len({r[0] for r in rows}) >= 3, name
+    monkeypatch.setattr(DecisionTreeRegressor, "copy", lambda self, extra=None: self)
+    problem, _ = compare(spark, con, "/root/testdata/sf0.001", queries.tune_cv, ORACLES["tune_cv"])
+    assert problem
+
+
 def test_grid_sizes():
     models = ml.regressors()
     sizes = {n: len(ml.param_grid(models[n], v)) for n, (v, _) in ml.GRIDS.items()}
@@ -132,6 +160,39 @@ def test_publish_counts_versions(spark, data, tree, tmp_path):
         store.load_published(spark, lake, "none")
 
 
+def test_two_publishers_at_once_get_two_versions(spark, tree, tmp_path, monkeypatch):
+    """One publishes between the other's reading of the last version and its writing of the next."""
+    lake = LakePaths(str(tmp_path / "a lake"))
+    listed = store.published_models
+    store.publish_model(spark, lake, tree.model, "a b/c%")
+    between = []
+
+    def read_then_wait(*args):
+        table = listed(*args)
+        if not between:
+            rows = table.collect()
+            between.append(1)
+            between.append(store.publish_model(spark, lake, tree.model, "a b/c%"))
+            return spark.createDataFrame(rows, store.MODEL_TABLE)
+        return table
+
+    monkeypatch.setattr(store, "published_models", read_then_wait)
+    assert store.publish_model(spark, lake, tree.model, "a b/c%") == 3 and between[1] == 2
+    monkeypatch.undo()
+    rows = store.published_models(spark, lake, "a b/c%").collect()
+    assert sorted(r["version"] for r in rows) == [1, 2, 3] and len({r["path"] for r in rows}) == 3
+    assert type(store.load_published(spark, lake, "a b/c%").stages[-1]) is type(tree.model.stages[-1])
+
+
+def test_a_version_is_created_once(spark, tmp_path):
+    record = store._record(LakePaths(str(tmp_path)), "m", 1)
+    with ThreadPool(8) as pool:
+        won = pool.map(lambda i: store._claim(spark, record, ["m", 1, "k", f"path{i}"]), range(16))
+    assert sum(won) == 1
+    (row,) = store.published_models(spark, LakePaths(str(tmp_path)), "m").collect()
+    assert row["path"] == f"path{won.index(True)}"
+
+
 def test_a_failed_publisher_blocks_nothing(spark, tree, tmp_path, monkeypatch):
     lake = LakePaths(str(tmp_path / "lake"))
     with monkeypatch.context() as broken:

@@ -43,6 +43,20 @@ def test_unused_texts_are_not_joined(spark, sf_dir):
     )[1]
 
 
+def test_nulls_of_derived_columns_need_one_scan_and_no_text(spark, sf_dir, monkeypatch):
+    import marquee.session as session
+
+    monkeypatch.setattr(session, "scratch_path", None)  # nothing may be staged
+    plan = plan_of(QUERIES["eda_null_profile"](spark, sf_dir)).split("== Physical Plan ==")[1]
+    for name in ("documents", "orders", "lineitem"):
+        assert plan.count(f"{name}.parquet") == 1
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line and "doc_id" in line]
+    text = re.search(r"FileScan parquet \[doc_id#\d+L?,(text#\d+)\]", plan).group(1)
+    assert exchanged and not any(text in line for line in exchanged)
+    above = plan[: plan.index("FileScan parquet [doc_id")].splitlines()[:-2]
+    assert not any(re.search(rf"{text}\b", line) for line in above)
+
+
 def test_source_stays_on_the_executors():
     banned = re.compile(r"\.toPandas\(|\.rdd\b|\budf\(|pandas_udf|localCheckpoint|crossJoin|\.collect\(\)")
     # The k category names; one row per wanted quantile.

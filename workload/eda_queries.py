@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.plans import eda
 from marquee.plans.combine import CONSTANT_COLUMNS
+from marquee.plans.features import processed_nulls
 from marquee.schemas import WIDE_MOVIE
 from marquee.session import stage
 from workload import fixture as fx
@@ -279,6 +280,16 @@ def eda_rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(eda.rating_summary(scores, accuracy=None), 4)
 
 
+@register(
+    "eda_rating_summary_default",
+    over_processed(describe_sql(["vote_average"], "processed", quartiles=True)),
+)
+def eda_rating_summary_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notebook's call: quartiles by a sketch, in one pass."""
+    scores = fx.catalog(spark, sf_dir, texts=False).select("vote_average")
+    return rounded(eda.rating_summary(scores), 4)
+
+
 @register(
     "eda_null_profile",
     over_processed(
@@ -288,7 +299,9 @@ def eda_rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def eda_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eda.nulls_per_column(fx.processed_full(spark, sf_dir))
+    """Over a catalogue that is not stored: the derived columns' NULLs from their sources, in one scan."""
+    movies = fx.all_movies(spark, sf_dir, texts="known")
+    return processed_nulls(movies, fx.genre_dim(spark, sf_dir))
 
 
 @register(

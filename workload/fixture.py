@@ -41,13 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, path, _schemas[path])
 
 
-def catalog(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
+def catalog(spark: SparkSession, sf_dir: str, texts: bool | str = True) -> DataFrame:
     """Fourteen movie columns, lazily; unused ones are pruned down to the scans.
 
     Sides are left for Spark to size: at scale neither supplier nor part nor
     customer is a broadcast side.  Order keys need 64 bits there.  The three
     inputs keyed by order meet first, on one partitioning.  Without ``texts``
-    overviews are NULL and no document is read.
+    overviews are NULL and no document is read; with ``"known"`` they are empty
+    where there is one, so that no text takes part in a join.
     """
     lineitem = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier")
@@ -74,7 +75,8 @@ def catalog(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
     no_ids = F.array().cast("array<int>")
     keyed = orders.join(lines, key == F.col("l_orderkey"))
     if texts:
-        documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+        text = F.when(F.col("text").isNotNull(), F.lit("")).alias("text") if texts == "known" else "text"
+        documents = table(spark, sf_dir, "documents").select("doc_id", text)
         keyed = keyed.join(documents, F.col("doc_id") == key, "left")
     else:
         keyed = keyed.withColumn("text", F.lit(None).cast("string"))
@@ -114,7 +116,7 @@ def genre_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def all_movies(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
+def all_movies(spark: SparkSession, sf_dir: str, texts: bool | str = True) -> DataFrame:
     return catalog(spark, sf_dir, texts).drop("adult", "video")
 
 

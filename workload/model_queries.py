@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -19,6 +20,20 @@ from marquee.sources import models as store
 from workload import fixture as fx
 from workload.encode_queries import BUCKET_SQL, PREFIXES, fold_sql
 from workload.fixture import over_catalog, over_processed
+from workload.model_sql import (
+    CELLS_SQL,
+    ERRORS,
+    FRAME_SQL,
+    MACHINE,
+    TWO,
+    boosted_sql,
+    errors_sql,
+    linear,
+    machine_sql,
+    rows_sql,
+    solved_sql,
+    tree_sql,
+)
 from workload.registry import register
 
 METRICS = ("rmse", "mae", "mse", "r2")
@@ -38,7 +53,9 @@ def model_data(spark: SparkSession, sf_dir: str) -> tuple[ml.ModelFrame, DataFra
     known = movies.withColumn("overview_length", F.coalesce("overview_length", F.lit(0)))
     frame = ml.build_model_frame(known, prefixes=PREFIXES)
     inputs = [c for c in frame.features() if c != ml.CATEGORY_INDEX]
-    rows = stage(frame.rows.select("id", LABEL, ml.CATEGORY, *inputs), "model_frame")
+    # A second 0/1 feature beside ``is_remake``, for models that SQL repeats cell by cell.
+    half = (F.col("release_month") > 6).cast("int").alias("second_half")
+    rows = stage(frame.rows.select("id", LABEL, ml.CATEGORY, *inputs, half), "model_frame")
     frame = ml.ModelFrame(rows, frame.encoded)
     return frame, *split_train_test(rows)
 
@@ -48,92 +65,86 @@ def _pipeline(frame: ml.ModelFrame, name: str, leak_free: bool = False) -> Pipel
     return ml.create_pipeline(stages, ml.regressors()[name])
 
 
-# The model frame's numeric features in SQL, with both parts marked.
-FRAME_SQL = f""", frame AS (
-  SELECT id, vote_average, rating_category, vote_count, release_year, release_month, release_day,
-    normalized_popularity, coalesce(overview_length, 0) AS overview_length,
-    CAST(is_remake AS INTEGER) AS is_remake, movie_age, {BUCKET_SQL} AS is_train
-  FROM processed WHERE release_year IS NOT NULL AND release_month IS NOT NULL
-    AND release_day IS NOT NULL AND movie_age IS NOT NULL),
-buckets AS (
-  SELECT rating_category, row_number() OVER (ORDER BY count(*) DESC, rating_category) - 1 AS i
-  FROM frame WHERE is_train GROUP BY rating_category),
-indexed AS (
-  SELECT frame.*, CAST(i AS DOUBLE) AS rating_category_index
-  FROM frame JOIN buckets USING (rating_category))"""
-
+# What the tree models learn from two 0/1 features, and a factorization machine from its moments, SQL
+# can repeat; least squares it repeats on all numeric features.  Scores with all features are in the tests.
+ALL_NUMERIC = list(ml.NUMERIC_FEATURES)
+LEAK_FREE = [c for c in ALL_NUMERIC if c != ml.CATEGORY_INDEX]
+STEPS, SPREAD = 20, 0.3
+# The solver's sums are not centred, and an age says nearly what a date does: its scores have some four
+# digits that do not depend on the order of rows.
+SURE = 3
 
-# With the one 0/1 feature ``is_remake`` four of the regressors predict the mean of either value,
-# which SQL can repeat.  Scores with all features are in the tests.
-ONE = ["is_remake"]
 
-
-def one_feature(name: str) -> Estimator:
-    """A regressor set so that it neither samples rows nor stops before the means."""
+def small(name: str) -> Estimator:
+    """A regressor for ``TWO`` that neither samples rows nor stops before what SQL computes."""
     regressor = ml.regressors()[name]
     if name == "tree":
-        return regressor.setMaxDepth(1)
+        return regressor.setMaxDepth(2)
     if name == "gbt":
-        return regressor.setMaxDepth(1).setMaxIter(1)
+        return regressor.setMaxDepth(1).setMaxIter(2)
     if name == "forest":
-        return regressor.setMaxDepth(1).setBootstrap(False).setFeatureSubsetStrategy("all")
+        return regressor.setMaxDepth(2).setBootstrap(False).setFeatureSubsetStrategy("all")
+    if name == "fm":
+        # Full-batch steps from a start that is far enough from 0 for the product term to count.
+        return regressor.setSolver("gd").setMaxIter(STEPS).setTol(0.0).setInitStd(SPREAD).setStepSize(0.02)
     return regressor
 
 
-ERRORS = (
-    "round(sqrt(avg((y - p) ** 2)), 6) AS rmse, round(avg(abs(y - p)), 6) AS mae,"
-    " round(avg((y - p) ** 2), 6) AS mse,"
-    " round(1 - sum((y - p) ** 2) / (count(*) * var_pop(y)), 6) AS r2"
-)
-MEANS_SQL = f"""{FRAME_SQL},
-leaves AS (SELECT is_remake, avg(vote_average) AS p FROM frame WHERE is_train GROUP BY is_remake),
-scored AS (SELECT vote_average AS y, p FROM frame JOIN leaves USING (is_remake) WHERE NOT is_train)"""
+LINEAR_SQL = f"""{FRAME_SQL}, known AS (SELECT * FROM indexed WHERE is_train),
+{solved_sql("full_weights", ALL_NUMERIC, "known")},
+{solved_sql("free_weights", LEAK_FREE, "known")}"""
+FULL_SCORED = f"SELECT vote_average AS y, {linear(ALL_NUMERIC)} AS p FROM indexed CROSS JOIN full_weights WHERE NOT is_train"
+FREE_SCORED = f"SELECT vote_average AS y, {linear(LEAK_FREE)} AS p FROM indexed CROSS JOIN free_weights WHERE NOT is_train"
 
+DEEP = "SELECT 'deep', 2, 1"
+TREE_SQL = f"""{rows_sql()}, {CELLS_SQL}, {tree_sql("leaves", DEEP)},
+scored AS (SELECT id, y, p FROM held JOIN leaves USING (part, a, b))"""
+BOOSTED_SQL = f"""{rows_sql()}, {CELLS_SQL}, {boosted_sql("SELECT 'boosted', 0.1")},
+scored AS (SELECT y, p FROM held JOIN leaves USING (part, a, b))"""
+MACHINE_SQL = f"""{rows_sql()}, {machine_sql([("one", 0.02, 8)], STEPS, SPREAD)},
+scored AS (SELECT y, {MACHINE} AS p FROM held JOIN machines USING (part))"""
 
-def _scores(spark: SparkSession, rows: list[tuple[str, dict[str, float]]]) -> DataFrame:
+
+def _scores(spark: SparkSession, rows: list[tuple[str, dict[str, float]]], digits: int = 6) -> DataFrame:
     scores = spark.createDataFrame(
         [(model, *(scores[m] for m in METRICS)) for model, scores in rows],
         "model string, " + ", ".join(f"{m} double" for m in METRICS),
     )
-    return scores.select("model", *(F.round(m, 6).alias(m) for m in METRICS))
+    return scores.select("model", *(F.round(m, digits).alias(m) for m in METRICS))
 
 
-def _register_model(name: str, sql: str | None) -> None:
-    """Held-out scores of a model on one feature."""
+@register(
+    "ml_linear",
+    over_processed(
+        f"""{LINEAR_SQL}
+        SELECT 'linear' AS model, {errors_sql(SURE)} FROM ({FULL_SCORED})
+        UNION ALL SELECT 'linear_leak_free' AS model, {errors_sql(SURE)} FROM ({FREE_SCORED})"""
+    ),
+)
+def ml_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out scores of least squares on all numeric features, with the label's bucket and without."""
+    _, train, test = model_data(spark, sf_dir)
+    rows = []
+    for name, features in (("linear", ALL_NUMERIC), ("linear_leak_free", LEAK_FREE)):
+        pipeline = ml.create_pipeline(ml.preparation(features), ml.regressors()["linear"])
+        rows.append((name, ml.train_and_evaluate(name, pipeline, train, test).metrics))
+    return _scores(spark, rows, SURE)
+
+
+def _register_model(name: str, sql: str) -> None:
+    """Held-out scores of a model on two features."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _, train, test = model_data(spark, sf_dir)
-        pipeline = ml.create_pipeline(ml.preparation(ONE), one_feature(name))
+        pipeline = ml.create_pipeline(ml.preparation(TWO), small(name))
         fitted = ml.train_and_evaluate(name, pipeline, train, test)
         return _scores(spark, [(name, fitted.metrics)])
 
-    register(f"ml_{name}", sql)(run)
-
+    register(f"ml_{name}", over_processed(f"{sql} SELECT '{name}' AS model, {ERRORS} FROM scored"))(run)
 
-for _name in ("linear", "tree", "gbt", "forest"):
-    _register_model(_name, over_processed(f"{MEANS_SQL} SELECT '{_name}' AS model, {ERRORS} FROM scored"))
-# A factorization machine only comes near the means, after thousands of steps.
-_register_model("fm", None)
 
-
-def _fold_sql(folds: int) -> str:
-    """Each training row as held out (in ``fold``) and as fitted to (in all other folds)."""
-    return f"""{FRAME_SQL},
-folded AS (SELECT is_remake, vote_average AS y, {fold_sql(folds)} AS fold FROM frame WHERE is_train),
-fits AS (SELECT i AS fold, y, is_remake FROM folded JOIN range({folds}) r(i) ON folded.fold <> i)"""
-
-
-def _means_search_sql(name: str, folds: int, points: list[str]) -> str:
-    """Every grid point of a tree model finds the means."""
-    listed = ", ".join(f"('{p}')" for p in points)
-    return over_processed(
-        f"""{_fold_sql(folds)},
-        leaves AS (SELECT fold, is_remake, avg(y) AS p FROM fits GROUP BY ALL),
-        errors AS (SELECT fold, sqrt(avg((y - p) ** 2)) AS rmse
-                   FROM folded JOIN leaves USING (fold, is_remake) GROUP BY fold)
-        SELECT '{name}' AS model, point, (SELECT round(avg(rmse), 6) FROM errors) AS cv_rmse
-        FROM (VALUES {listed}) AS v(point)"""
-    )
+for _name, _sql in (("tree", TREE_SQL), ("forest", TREE_SQL), ("gbt", BOOSTED_SQL), ("fm", MACHINE_SQL)):
+    _register_model(_name, _sql)
 
 
 def _linear_search_sql(folds: int, values: dict[str, list[float]]) -> str:
@@ -144,7 +155,9 @@ def _linear_search_sql(folds: int, values: dict[str, list[float]]) -> str:
         for a in values["elasticNetParam"]
     )
     return over_processed(
-        f"""{_fold_sql(folds)},
+        f"""{FRAME_SQL},
+        folded AS (SELECT is_remake, vote_average AS y, {fold_sql(folds)} AS fold FROM frame WHERE is_train),
+        fits AS (SELECT i AS fold, y, is_remake FROM folded JOIN range({folds}) r(i) ON folded.fold <> i),
         grid AS (SELECT * FROM (VALUES {listed}) AS v(point, reg, mix)),
         moments AS (SELECT fold, avg(y) AS my, stddev_pop(y) AS sy, avg(is_remake) AS mx,
                            stddev_pop(is_remake) AS sx, corr(is_remake, y) AS c FROM fits GROUP BY fold),
@@ -160,9 +173,47 @@ def _point(values: dict) -> str:
     return ", ".join(f"{k}={v}" for k, v in sorted(values.items()))
 
 
-def _grid_points(name: str) -> list[str]:
-    names = list(ml.GRIDS[name][0])
-    return [_point(dict(zip(names, p))) for p in product(*ml.GRIDS[name][0].values())]
+# The searches of the registered queries: points that differ in what a model on two features learns.
+SEARCHES: dict[str, tuple[dict[str, list], int]] = {
+    # Full-batch steps of 0.1 diverge.
+    "fm": ({"stepSize": [0.001, 0.01, 0.02], "factorSize": [4, 8, 12]}, 3),
+    "linear": ml.GRIDS["linear"],
+    "tree": ({"maxDepth": [0, 1, 2], "minInstancesPerNode": [1, 2000]}, 3),
+    "forest": ({"numTrees": [5, 10], "maxDepth": [0, 1, 2]}, 2),
+    "gbt": ml.GRIDS["gbt"],
+}
+
+
+def _points(values: dict[str, list]) -> list[dict]:
+    return [dict(zip(values, p)) for p in product(*values.values())]
+
+
+def _search_sql(name: str, folds: int, models: str, score: str = "p") -> str:
+    """The mean over the folds of each point's rmse; ``models`` gives (part, point, ...)."""
+    source = "machines USING (part)" if name == "fm" else "leaves USING (part, a, b)"
+    return over_processed(
+        f"""{rows_sql(folds)}, {models},
+        errors AS (SELECT part, point, sqrt(avg((y - ({score})) ** 2)) AS rmse FROM held JOIN {source}
+                   GROUP BY part, point)
+        SELECT '{name}' AS model, point, round(avg(rmse), 6) AS cv_rmse FROM errors GROUP BY point"""
+    )
+
+
+def _tree_search_sql(name: str, values: dict[str, list], folds: int) -> str:
+    listed = ", ".join(
+        f"('{_point(p)}', {p['maxDepth']}, {p.get('minInstancesPerNode', 1)})" for p in _points(values)
+    )
+    return _search_sql(name, folds, f"{CELLS_SQL}, {tree_sql('leaves', f'VALUES {listed}')}")
+
+
+def _boosted_search_sql(values: dict[str, list], folds: int) -> str:
+    listed = ", ".join(f"('{_point(p)}', {p['stepSize']})" for p in _points(values))
+    return _search_sql("gbt", folds, f"{CELLS_SQL}, {boosted_sql(f'VALUES {listed}')}")
+
+
+def _machine_search_sql(values: dict[str, list], folds: int) -> str:
+    points = [(_point(p), p["stepSize"], p["factorSize"]) for p in _points(values)]
+    return _search_sql("fm", folds, machine_sql(points, STEPS, SPREAD), MACHINE)
 
 
 def _search_rows(spark: SparkSession, fitted: ml.Fitted) -> DataFrame:
@@ -174,26 +225,27 @@ def _search_rows(spark: SparkSession, fitted: ml.Fitted) -> DataFrame:
 
 def _search(spark: SparkSession, sf_dir: str, name: str, values: dict, folds: int) -> DataFrame:
     _, train, test = model_data(spark, sf_dir)
-    regressor = one_feature(name)
+    regressor = small(name)
     grid = ml.param_grid(regressor, values)
-    stages = ml.preparation(ONE)
+    stages = ml.preparation(["is_remake"] if name == "linear" else TWO)
     fitted = ml.tune(name, stages, regressor, grid, train, test, folds, parallelism=8)
     return _search_rows(spark, fitted)
 
 
-def _register_search(name: str, sql: str | None) -> None:
+def _register_search(name: str, sql: str) -> None:
     """Mean rmse of every grid point."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _search(spark, sf_dir, name, *ml.GRIDS[name])
+        return _search(spark, sf_dir, name, *SEARCHES[name])
 
     register(f"tune_{name}", sql)(run)
 
 
-_register_search("fm", None)
-_register_search("linear", _linear_search_sql(ml.GRIDS["linear"][1], ml.GRIDS["linear"][0]))
-for _name in ("tree", "forest", "gbt"):
-    _register_search(_name, _means_search_sql(_name, ml.GRIDS[_name][1], _grid_points(_name)))
+_register_search("fm", _machine_search_sql(*SEARCHES["fm"]))
+_register_search("linear", _linear_search_sql(SEARCHES["linear"][1], SEARCHES["linear"][0]))
+_register_search("gbt", _boosted_search_sql(*SEARCHES["gbt"]))
+for _name in ("tree", "forest"):
+    _register_search(_name, _tree_search_sql(_name, *SEARCHES[_name]))
 
 
 @register(
@@ -362,33 +414,38 @@ def select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.select_best(runs.select("model", F.round("rmse", 6).alias("rmse")))
 
 
-@register(
-    "tune_grid",
-    over_processed(
-        f"""{FRAME_SQL},
-        grids AS (SELECT * FROM (VALUES ('fm', 3, 9), ('linear', 3, 9), ('tree', 3, 9),
-                  ('forest', 2, 2), ('gbt', 2, 3)) AS v(model, folds, points))
-        SELECT model, folds, points, (SELECT count(*) FROM frame WHERE is_train) AS n_train
-        FROM grids"""
-    ),
-)
+def _grid_sql() -> str:
+    parts = []
+    for name, (values, folds) in ml.GRIDS.items():
+        points = ", ".join(f"('{_point(p)}')" for p in _points(values))
+        parts.append(
+            f"""SELECT '{name}' AS model, point, CAST(r.i AS INTEGER) AS fold,
+              count(*) FILTER ({fold_sql(folds)} <> r.i) AS n_fitted, count(*) FILTER ({fold_sql(folds)} = r.i) AS n_held
+            FROM frame CROSS JOIN range({folds}) r(i) CROSS JOIN (VALUES {points}) AS v(point)
+            WHERE is_train GROUP BY point, r.i"""
+        )
+    return over_processed(FRAME_SQL + " UNION ALL ".join(parts))
+
+
+@register("tune_grid", _grid_sql())
 def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The size of every search's grid, with the training rows it is fitted to."""
+    """Every point of every search's grid, with the rows each fold fits it to and holds out."""
     _, train, _ = model_data(spark, sf_dir)
     models = ml.regressors()
-    sizes = [
-        (name, folds, len(ml.param_grid(models[name], values)))
-        for name, (values, folds) in ml.GRIDS.items()
-    ]
-    grids = spark.createDataFrame(sizes, "model string, folds int, points int")
-    rows = train.agg(F.count(F.lit(1))).scalar()
-    return grids.withColumn("n_train", rows)
+    plans = []
+    for name, (values, folds) in ml.GRIDS.items():
+        grid = ml.param_grid(models[name], values)
+        points = [(name, _point({p.name: v for p, v in point.items()})) for point in grid]
+        listed = spark.createDataFrame(points, "model string, point string")
+        sizes = ml.fold_sizes(train, folds).withColumn("model", F.lit(name))
+        plans.append(listed.join(sizes, "model"))
+    return reduce(DataFrame.unionByName, plans)
 
 
-@register("tune_cv", _means_search_sql("tree", 2, ["maxDepth=3", "maxDepth=6"]))
+@register("tune_cv", _tree_search_sql("tree", {"maxDepth": [0, 1, 2]}, 2))
 def tune_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-fold search over one tree parameter."""
-    return _search(spark, sf_dir, "tree", {"maxDepth": [3, 6]}, 2)
+    return _search(spark, sf_dir, "tree", {"maxDepth": [0, 1, 2]}, 2)
 
 
 def _lake(spark: SparkSession) -> LakePaths:
@@ -406,53 +463,50 @@ def sink_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _deviations(spark, store.load_model(path))
 
 
-@register(
-    "src_model",
-    over_processed(f"{FRAME_SQL} SELECT id, true AS is_same FROM frame WHERE NOT is_train"),
-)
+@register("src_model", over_processed(f"{TREE_SQL} SELECT id, round(p, 6) AS prediction FROM scored"))
 def src_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reloaded pipeline predicts what the original does, row by row."""
-    frame, train, test = model_data(spark, sf_dir)
+    """What a reloaded pipeline predicts, row by row."""
+    _, train, test = model_data(spark, sf_dir)
     path = _lake(spark).gold(store.BEST_MODEL)
-    model = _pipeline(frame, "tree").fit(train)
-    store.save_model(model, path)
-    before = model.transform(test).withColumnRenamed("prediction", "before")
-    again = before.drop(ml.CATEGORY_INDEX, "features", ml.SCALED)
-    same = F.col("before") == F.col("prediction")
-    return store.load_model(path).transform(again).select("id", same.alias("is_same"))
+    store.save_model(ml.create_pipeline(ml.preparation(TWO), small("tree")).fit(train), path)
+    return store.load_model(path).transform(test).select("id", F.round("prediction", 6).alias("prediction"))
 
 
-LOGGED = {"linear": "LinearRegressionModel", "tree": "DecisionTreeRegressionModel"}
+# Two runs: least squares on all numeric features, a tree on two.
+LOGGED = {"linear": ALL_NUMERIC, "tree": TWO}
+LOGGED_SQL = f"""{LINEAR_SQL}, {rows_sql().removeprefix(FRAME_SQL).lstrip(", ")}, {CELLS_SQL}, {tree_sql("leaves", DEEP)},
+scored AS (
+  SELECT 'LinearRegressionModel' AS model, y, p FROM ({FULL_SCORED})
+  UNION ALL SELECT 'DecisionTreeRegressionModel', y, p FROM held JOIN leaves USING (part, a, b))"""
 
 
 @register(
     "run_log",
     over_processed(
-        f"""{MEANS_SQL}, errors AS (SELECT {ERRORS} FROM scored),
+        f"""{LOGGED_SQL}, errors AS (SELECT model, {errors_sql(SURE)} FROM scored GROUP BY model),
         metrics AS (UNPIVOT errors ON rmse, mae, mse, r2 INTO NAME key VALUE value)
-        SELECT 'training' AS run_name, model, key, value FROM metrics
-        CROSS JOIN (VALUES ('LinearRegressionModel'), ('DecisionTreeRegressionModel')) AS v(model)"""
+        SELECT 'training' AS run_name, model, key, value FROM metrics"""
     ),
 )
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs and the metrics that the log keeps of them."""
     _, train, test = model_data(spark, sf_dir)
     lake = _lake(spark)
-    for name in LOGGED:
-        pipeline = ml.create_pipeline(ml.preparation(ONE), one_feature(name))
+    for name, features in LOGGED.items():
+        pipeline = ml.create_pipeline(ml.preparation(features), small(name))
         fitted = ml.train_and_evaluate(name, pipeline, train, test)
         store.log_run(spark, lake, fitted, "training", keep_model=False)
     kept = store.read_runs(spark, lake).filter("kind = 'metric'")
-    return kept.select("run_name", "model", "key", F.round(F.col("value").cast("double"), 6).alias("value"))
+    return kept.select("run_name", "model", "key", F.round(F.col("value").cast("double"), SURE).alias("value"))
 
 
 @register(
     "model_publish",
     over_processed(
-        f"""{MEANS_SQL}
-        SELECT name, version, model, round(sqrt(avg((y - p) ** 2)), 6) AS rmse
-        FROM scored CROSS JOIN (VALUES ('vote_predictor', 1, 'LinearRegressionModel'),
-          ('vote_predictor', 2, 'DecisionTreeRegressionModel')) AS v(name, version, model)
+        f"""{LOGGED_SQL}
+        SELECT name, version, model, round(sqrt(avg((y - p) ** 2)), {SURE}) AS rmse
+        FROM scored JOIN (VALUES ('vote_predictor', 1, 'LinearRegressionModel'),
+          ('vote_predictor', 2, 'DecisionTreeRegressionModel')) AS v(name, version, model) USING (model)
         GROUP BY name, version, model"""
     ),
 )
@@ -460,33 +514,51 @@ def model_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions under one name, each loaded again and scored on the held-out rows."""
     _, train, test = model_data(spark, sf_dir)
     lake, rows = _lake(spark), []
-    for name in LOGGED:
-        model = ml.create_pipeline(ml.preparation(ONE), one_feature(name)).fit(train)
+    for name, features in LOGGED.items():
+        model = ml.create_pipeline(ml.preparation(features), small(name)).fit(train)
         version = store.publish_model(spark, lake, model, "vote_predictor")
         loaded = store.load_published(spark, lake, "vote_predictor", version)
         rows.append((version, ml.regression_metrics(loaded.transform(test)).first()["rmse"]))
     scores = spark.createDataFrame(rows, "version int, rmse double")
     published = store.published_models(spark, lake, "vote_predictor").drop("path")
     return published.join(scores, "version").select(
-        "name", "version", "model", F.round("rmse", 6).alias("rmse")
+        "name", "version", "model", F.round("rmse", SURE).alias("rmse")
     )
 
 
+def _after_frame(folds: int = 0) -> str:
+    return rows_sql(folds).removeprefix(FRAME_SQL).lstrip(", ")
+
+
+DEPTHS = "VALUES ('1', 1, 1), ('2', 2, 1)"
+# The candidates: a tree of depth 2, one of the depth that two folds prefer, least squares; all on two features.
+BUILD_SQL = f"""{FRAME_SQL}, known AS (SELECT * FROM frame WHERE is_train), {solved_sql("weights", TWO, "known")},
+chosen AS (
+  WITH {_after_frame(2)}, {CELLS_SQL}, {tree_sql("leaves", DEPTHS)},
+  errors AS (SELECT part, point, sqrt(avg((y - p) ** 2)) AS rmse FROM held JOIN leaves USING (part, a, b) GROUP BY ALL)
+  SELECT point FROM errors GROUP BY point ORDER BY avg(rmse), point LIMIT 1),
+{_after_frame()}, {CELLS_SQL}, {tree_sql("leaves", DEPTHS)},
+candidates AS (
+  SELECT 'DecisionTreeRegressionModel' AS model, sqrt(avg((y - p) ** 2)) AS rmse FROM held JOIN leaves USING (part, a, b)
+  WHERE point = '2' OR point IN (SELECT point FROM chosen) GROUP BY point
+  UNION ALL SELECT 'LinearRegressionModel', sqrt(avg((vote_average - ({linear(TWO)})) ** 2))
+  FROM frame CROSS JOIN weights WHERE NOT is_train)"""
+
+
 @register(
     "build_models",
     over_processed(
-        f"""{MEANS_SQL}
-        SELECT 'DecisionTreeRegressionModel' AS model, 1 AS version,
-          round(sqrt(avg((y - p) ** 2)), 6) AS rmse FROM scored"""
+        f"""{BUILD_SQL} SELECT model, 1 AS version, round(rmse, 6) AS rmse FROM candidates
+        ORDER BY round(rmse, 9), model LIMIT 1"""
     ),
 )
 def build_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The composed job on small grids: fit, search, log, keep the best and register it."""
     _, train, test = model_data(spark, sf_dir)
     lake = _lake(spark)
-    models = {name: one_feature(name) for name in LOGGED}
+    models = {name: small(name) for name in LOGGED}
     grids = {"tree": ({"maxDepth": [1, 2]}, 2)}
-    ml.build_models(spark, lake, ml.preparation(ONE), train, test, models, grids)
+    ml.build_models(spark, lake, ml.preparation(TWO), train, test, models, grids)
     version = ml.register_best(spark, lake, "vote_predictor")
     loaded = store.load_published(spark, lake, "vote_predictor")
     rmse = ml.regression_metrics(loaded.transform(test)).select(F.round("rmse", 6).alias("rmse"))
