@@ -203,6 +203,7 @@ def test_nulls_follow_from_the_sources(spark):
     ]
     genres = spark.createDataFrame([(1, "Drama"), (2, "Crime")], "id int, name string")
     for rows in (odd, odd[:1], [movie(7, popularity=0.0)], [movie(8, popularity=None)], []):
+        rows = [r | {"vote_average": r["vote_average"] and 7.0} for r in rows]
         movies = spark.createDataFrame([tuple(r[f.name] for f in MOVIE.fields) for r in rows], MOVIE)
         for lookup in ("map", "join"):
             derived = null_profile(engineer_features(movies, genres, "http://i", "2020-01-01", lookup))
