@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches
+from .common import bound_batches, give_back
 
 FEATURES = 200
 RIDGE = 1e-3
@@ -88,6 +88,7 @@ def statistics(
                 ends, flat, type=pa.list_(pa.field("element", pa.float32(), nullable=False))
             )
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=names)
+        give_back()
 
     bound_batches(docs.sparkSession)
     return docs.select(*carry, F.col(text).alias("_text")).mapInArrow(work, schema)

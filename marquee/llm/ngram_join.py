@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-from .common import bound_batches
+from .common import bound_batches, give_back
 from .graph import components
 from .shingles import SHINGLE, shingle_sets, text_key
 
@@ -48,8 +48,8 @@ SMALL_GROUP = 12
 LEADERS = 2
 #: Texts of a large group that are paired at a time.
 GROUP_BLOCK = 256
-#: Shingles a task collects before it sends them on.
-FLUSH = 2_000_000
+#: Shingles a task collects before it sends them on: 6 MB of entries, held a few times over.
+FLUSH = 250_000
 #: A bucket should get about this many shingles or prefix entries.
 PER_BUCKET = 400_000
 
@@ -143,13 +143,12 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
                 amount = 0
         if held:
             yield flush()
+        give_back()
 
     def merge(batches: Iterator) -> Iterator:
-        """Over the rows of one partition, which holds whole buckets."""
+        """Over the rows of one partition, which holds whole buckets one after another."""
         import pyarrow as pa
 
-        parts: dict[int, tuple[list, list, list]] = {}
-
         def rows(kind, doc, a, n, b):
             return pa.RecordBatch.from_arrays(
                 [
@@ -162,23 +161,7 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
                 names=["kind", "doc_id", "a", "n", "parts"],
             )
 
-        for batch in batches:
-            raw = b"".join(x for x in batch.column(1).to_pylist() if x is not None)
-            if raw:
-                d = np.frombuffer(raw, "<i8").reshape(-1, 5)
-                yield rows(0, pa.array(d[:, 1], pa.int64(), mask=d[:, 0] == 1), d[:, 2], d[:, 3], d[:, 4])
-            columns = [batch.column(i).to_pylist() for i in (0, 2, 3, 4)]
-            for bucket, ones, many, times in zip(*columns):
-                if ones is None and many is None:
-                    continue
-                held = parts.setdefault(bucket, ([], [], []))
-                if ones is not None:
-                    held[0].append(ones)
-                if many is not None:
-                    held[1].append(many)
-                    held[2].append(times)
-        for bucket in list(parts):
-            ones, many, times = parts.pop(bucket)
+        def counted(bucket, ones, many, times):
             five = np.frombuffer(b"".join(ones), np.uint8).reshape(-1, 5)
             wide = np.zeros((len(five), 8), np.uint8)
             wide[:, :5] = five
@@ -193,7 +176,7 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
             first = np.flatnonzero(np.diff(values, prepend=values[:1] - np.uint64(1)))
             df = np.add.reduceat(weight, first) if len(first) else np.empty(0)
             often = df > RARE
-            yield rows(
+            return rows(
                 1,
                 pa.nulls(int(often.sum()), pa.int64()),
                 values[first][often].astype(np.int64),
@@ -201,10 +184,34 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
                 np.zeros(int(often.sum()), np.int64),
             )
 
+        now, held = -1, ([], [], [])
+        for batch in batches:
+            raw = b"".join(x for x in batch.column(1).to_pylist() if x is not None)
+            if raw:
+                d = np.frombuffer(raw, "<i8").reshape(-1, 5)
+                yield rows(0, pa.array(d[:, 1], pa.int64(), mask=d[:, 0] == 1), d[:, 2], d[:, 3], d[:, 4])
+            columns = [batch.column(i).to_pylist() for i in (0, 2, 3, 4)]
+            for bucket, ones, many, times in zip(*columns):
+                if ones is None and many is None:
+                    continue
+                if bucket != now and any(held):
+                    yield counted(now, *held)
+                    held = [], [], []
+                now = bucket
+                if ones is not None:
+                    held[0].append(ones)
+                if many is not None:
+                    held[1].append(many)
+                    held[2].append(times)
+        if any(held):
+            yield counted(now, *held)
+        del held
+        give_back()
+
     spark = docs.sparkSession
     bound_batches(spark)
     sent = docs.mapInArrow(scan, "bucket int, docs binary, ones binary, many binary, counts binary")
-    return sent.repartition(buckets, "bucket").mapInArrow(
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
         merge, "kind int, doc_id long, a long, n long, parts long"
     )
 
@@ -281,15 +288,12 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
                 amount = 0
         if held:
             yield flush()
+        give_back()
 
     def meet(batches: Iterator) -> Iterator:
+        """Over the rows of one partition, which holds whole buckets one after another."""
         import pyarrow as pa
 
-        held: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(bucket, []).append(raw)
-
         def rows(kind, *columns):
             columns = [np.ascontiguousarray(c).astype(np.int64) for c in columns]
             columns += [np.zeros(len(columns[0]), np.int64)] * (4 - len(columns))
@@ -299,8 +303,8 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
                 names=["kind", "a", "b", "n", "pos"],
             )
 
-        for bucket in list(held):
-            e = np.frombuffer(b"".join(held.pop(bucket)), _ENTRY)
+        def met(raw):
+            e = np.frombuffer(b"".join(raw), _ENTRY)
             e = e[np.lexsort((e["key"], e["n"], e["h"]))]
             same = (e["h"][1:] == e["h"][:-1]) & (e["key"][1:] == e["key"][:-1])
             e = e[np.concatenate([[True], ~same])]  # copies from different tasks
@@ -325,9 +329,23 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
             if len(big):
                 yield rows(1, big["h"], big["key"], big["n"], big["pos"])
 
+        now, held = -1, []
+        for batch in batches:
+            for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if bucket != now and held:
+                    yield from met(held)
+                    held = []
+                now = bucket
+                held.append(raw)
+        if held:
+            yield from met(held)
+        del held
+        give_back()
+
     return (
         docs.mapInArrow(scan, "bucket int, entries binary")
         .repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket")
         .mapInArrow(meet, "kind int, a long, b long, n long, pos long")
     )
 
