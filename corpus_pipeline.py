@@ -1,9 +1,9 @@
 """A corpus from raw documents to packed sequences, in five stages.
 
 Each stage works on all that the one before kept; between stages the documents
-are written as Parquet to the shared folder and read back.  Rows without an id
-go through like others: for joins they get a number from their text, above all
-ordinary ids.
+are written as Parquet to the shared folder and read back.  What a stage
+decides about a text holds for that text: rows are told apart by id and text,
+so neither a missing id nor one that occurs twice mixes them up.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ ORACLE_SQL = None
 
 
 def _number() -> Column:
-    """The id, or a number from the text above 2^62."""
-    made = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    return F.coalesce(F.col("doc_id").cast("long"), made)
+    """A number for the id and the text together: 63 bits, so among 10^9 rows two share one with a chance of 1 in 20."""
+    return F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 63) - 1))
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -69,21 +68,32 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document with the smallest id stays.
 
-    Texts without words are in no component and stay.
+    Ids that are missing come last, and of several texts under one id the one with the smallest
+    number is taken.  Texts without words are in no component and stay.  Of rows that repeat id and
+    text one stays, whatever their other columns hold.
     """
     number = _fresh(docs, "number")
     numbered = docs.withColumn(number, _number())
     members, _ = ngram_join.join_similar(numbered.select(F.col(number), "text"), doc=number)
+    ids = numbered.groupBy(F.col(number).alias("doc_id")).agg(
+        F.first("doc_id").alias("id"), F.count("*").alias("rows")
+    )
+    groups = members.select("doc_id", "component_id").distinct().join(ids, "doc_id")
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", F.col("doc_id").alias(number), "rows"))
     kept = stage(
-        members.filter("doc_id = component_id")
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("rows"))
-        .withColumnRenamed("doc_id", number),
+        groups.groupBy("component_id").agg(first.alias("first")).select(f"first.{number}", "first.rows"),
         "kept-documents",
     )
-    left = numbered.join(kept.select(number), number, "left_semi").select(*docs.columns)
-    # An id that occurs more than once stands for repeated rows: each different one stays once.
-    return left.distinct() if kept.filter("rows > 1").limit(1).count() else left
+    left = numbered.join(kept.filter("rows = 1").select(number), number, "left_semi").select(*docs.columns)
+    again = kept.filter("rows > 1").select(number)
+    row = F.struct(*docs.columns)
+    once = (
+        numbered.join(again, number, "left_semi")
+        .groupBy(number)
+        .agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row"))
+        .select("row.*")
+    )
+    return left.unionByName(once) if again.limit(1).count() else left
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
