@@ -159,19 +159,23 @@ def _narrow(
 ) -> list[_Bracket]:
     """One pass over the values; adds answers to ``found`` and returns what is left, narrower."""
     slots = sorted({(b.column, b.low, b.high) for b in brackets})
-    partial, final, sketches = {}, {}, []
+    partial, final = {}, {}
+    sketches: dict[int, Sketched] = {}
     for k, (i, low, high) in enumerate(slots):
         v = F.col(f"v{i}")
         between = (v > F.lit(low)) & (v < F.lit(high))
         for name, rows in {"below": v < F.lit(low), "at": v == F.lit(low), "in": between, "top": v == F.lit(high)}.items():
             partial[f"{name}{k}"] = F.count_if(rows)
             final[f"{name}{k}"] = F.sum(f"{name}{k}")
-        sketches.append(Sketched(f"s{k}", F.when(between, v), whole[i], size))
-        partial |= sketches[k].partial
-        final |= sketches[k].final
-    # One row; the ranks to read from its sketches are known when its counts are.
-    one = stage(merged(typed, partial, final), "quantile-pass")
-    counts = one.drop(*(f"s{k}" for k in range(len(slots)))).first()
+        if low != high:  # else the counts alone prove the one value
+            sketches[k] = Sketched(f"s{k}", F.when(between, v), whole[i], size)
+            partial |= sketches[k].partial
+            final |= sketches[k].final
+    one = merged(typed, partial, final)
+    if sketches:
+        # One row; the ranks to read from its sketches are known when its counts are.
+        one = stage(one, "quantile-pass")
+    counts = one.drop(*(f"s{k}" for k in sketches)).first()
     margin = 2 * rank_error(size)
     left, reads = [], []
     for b in brackets:

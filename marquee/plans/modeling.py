@@ -192,39 +192,41 @@ def tune(
     folds: int = 3,
     key: str = "id",
     label: str = LABEL,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Fitted:
     """k-fold search for the lowest mean rmse, refit on all training rows.
 
     Folds come from the key's hash, so a rerun on other partitions draws the
     same ones.  The preparation stages do not depend on the grid: they are
-    fitted once per fold and the grid shares the prepared rows.
+    fitted once per fold and the grid shares the prepared rows.  Folds and
+    points are fitted side by side, ``parallelism`` at a time; the prepared rows
+    of all folds are kept, on disk where memory is short.
     """
     foreign = {p.name for point in grid for p in point if p.parent != regressor.uid}
     if foreign:
         raise ValueError(f"the grid may only hold the regressor's parameters, not {sorted(foreign)}")
     fold = hash_bucket(key, folds, salt="fold:")
     columns = [label, regressor.getOrDefault("featuresCol")]
-    per_fold = []
-    for i in range(folds):
+    spark = train.sparkSession
+
+    def prepare(i: int) -> tuple[DataFrame, DataFrame]:
         fit_rows, held_rows = train.filter(fold != i), train.filter(fold == i)
         prepared = Pipeline(stages=list(stages)).fit(fit_rows)
-        fit_part = prepared.transform(fit_rows).select(*columns).persist(_SPILLING)
-        held_part = prepared.transform(held_rows).select(*columns).persist(_SPILLING)
-        try:
-            per_fold.append(
-                _in_threads(
-                    train.sparkSession,
-                    lambda point: _metrics(
-                        regressor.copy(point).fit(fit_part).transform(held_part), label
-                    )["rmse"],
-                    grid,
-                    parallelism,
-                )
-            )
-        finally:
-            fit_part.unpersist()
-            held_part.unpersist()
+        parts = (prepared.transform(rows).select(*columns).persist(_SPILLING) for rows in (fit_rows, held_rows))
+        return tuple(parts)
+
+    def rmse(job: tuple[int, dict[Param, Any]]) -> float:
+        fit_part, held_part = parts[job[0]]
+        return _metrics(regressor.copy(job[1]).fit(fit_part).transform(held_part), label)["rmse"]
+
+    parts = _in_threads(spark, prepare, range(folds), parallelism)
+    try:
+        # All folds side by side: one that waits for its last trees leaves no executor idle.
+        scores = _in_threads(spark, rmse, [(i, point) for i in range(folds) for point in grid], parallelism)
+    finally:
+        for part in (p for pair in parts for p in pair):
+            part.unpersist()
+    per_fold = [scores[i * len(grid) : (i + 1) * len(grid)] for i in range(folds)]
     means = [fsum(scores) / folds for scores in zip(*per_fold)]
     if all(map(isnan, means)):
         raise ArithmeticError(f"no point of the {name} grid has an rmse in every fold")
@@ -264,19 +266,21 @@ def build_models(
 ) -> str:
     """Silver to gold: fit every model, search every grid, log each run, keep the best pipeline.
 
-    Returns the id of the run with the lowest rmse; among equal ones a searched run's model comes
+    Returns the id of the run of this job with the lowest rmse (earlier jobs in the log may have had
+    other features); among equal ones a searched run's model comes
     first by name.  Its pipeline is stored as the best model.
     """
     models = regressors() if models is None else models
     grids = GRIDS if grids is None else grids
+    own: list[str] = []
     for name, regressor in models.items():
         fitted = train_and_evaluate(name, create_pipeline(stages, regressor), train, test)
-        store.log_run(spark, lake, fitted, "training")
+        own.append(store.log_run(spark, lake, fitted, "training"))
     for name, (values, folds) in grids.items():
         grid = param_grid(models[name], values)
         found = tune(name, stages, models[name], grid, train, test, folds)
-        store.log_run(spark, lake, found, "cross_validation")
-    metrics = store.run_metrics(store.read_runs(spark, lake))
+        own.append(store.log_run(spark, lake, found, "cross_validation"))
+    metrics = store.run_metrics(store.read_runs(spark, lake)).filter(F.col("run_id").isin(own))
     # The last digits of sums depend on the order of rows; runs that differ only there tie.
     best = store.select_best(metrics.withColumn("rmse", F.round("rmse", 9))).first()
     model = store.load_model(store.run_model_path(lake, best["run_id"]))
