@@ -10,6 +10,7 @@ import pytest
 from marquee.session import drop_scratch, scratch_path, shared_dir, stage
 
 import __spark_entry__  # noqa: F401  registers the queries
+from workload.generic import staged_feeds
 from workload.registry import QUERIES
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -56,6 +57,20 @@ def test_nulls_of_derived_columns_need_one_scan_and_no_text(spark, sf_dir, monke
     assert uses and all("FileScan" in line or f"isnotnull({text})" in line for line in uses)
 
 
+def test_dedup_shuffles_no_text(spark, sf_dir, monkeypatch):
+    """Nothing is shuffled by the plan that returns the rows, and only digests and places by the one before."""
+    from marquee.operators import setops
+
+    staged = []
+    monkeypatch.setattr(setops, "stage", lambda df, n: staged.append(plan_of(df)) or stage(df, n))
+    plan = plan_of(setops.dedup_stored(staged_feeds(spark, sf_dir))).split("== Physical Plan ==")[1]
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    (digests,) = staged
+    for line in digests.split("== Physical Plan ==")[1].splitlines():
+        if "Project" in line and "digest#" in line and "sha2" not in line:
+            assert "overview#" not in line
+
+
 def test_source_stays_on_the_executors():
     banned = re.compile(r"\.toPandas\(|\.rdd\b|\budf\(|pandas_udf|localCheckpoint|crossJoin|\.collect\(\)")
     # The k category names; one row per wanted quantile.
