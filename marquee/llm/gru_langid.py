@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches
+from .common import bound_batches, give_back
 
 WINDOW = 64
 HIDDEN = 8
 #: The training sample: at most about this many documents of a language, SNIPPETS pieces of
 #: SNIPPET_CHARS characters from anywhere in each.
 DOCS_PER_LANGUAGE = 400
+#: Languages a model learns at most.
+MAX_LANGUAGES = 200
 SNIPPETS = 4
 SNIPPET_CHARS = 96
 STEPS = 350
@@ -190,12 +192,15 @@ def train(
     """Fit on a sample of ``rows``; None where no row has a text with letters and a language.
 
     The sample holds about ``docs_per_language`` documents of each language, picked by the
-    hash of their id, and of each ``SNIPPETS`` snippets from all over the text.
+    hash of their id, and of each ``SNIPPETS`` snippets from all over the text.  Where ``lang`` has
+    more than ``MAX_LANGUAGES`` values, those with most documents are learnt (ties by name): the
+    sample and the model then stay bounded, whatever a dirty column holds.
     """
     usable = rows.select(
         F.col(doc).alias("d"), F.col(text).alias("t"), F.col(lang).alias("l")
     ).filter("d IS NOT NULL AND l IS NOT NULL AND t IS NOT NULL")
-    counts = {r["l"]: r["count"] for r in usable.groupBy("l").count().collect()}
+    most = usable.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES)
+    counts = {r["l"]: r["count"] for r in most.collect()}
     if not counts:
         return None
     share = F.create_map(
@@ -272,6 +277,7 @@ def identify(
                 ],
                 names=names,
             )
+        give_back()
 
     bound_batches(docs.sparkSession)
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))

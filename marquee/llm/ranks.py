@@ -86,7 +86,8 @@ def following(ids: DataFrame, column: str, name: str) -> DataFrame:
     ahead = spread.withColumn("ahead", F.lead(value).over(in_range))
     # One row per range: what it begins with, and what the range after it does.
     over_ranges = Window.orderBy("part")
-    heads = spread.groupBy("part").agg(F.min_by(value, F.struct(F.col(column).isNull(), -F.col(column))).alias("head"))
+    # The greatest; a struct of null comes below all others.
+    heads = spread.groupBy("part").agg(F.max(value).alias("head"))
     heads = heads.select(
         F.col("part").alias("p"),
         F.coalesce(

@@ -59,7 +59,8 @@ def count_words(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
 
     Null texts have no runs; in a row without an id nothing is left out.  Repeated rows count again.
     A task sends every word it has seen once for each FLUSH different ones, so a word with a third of
-    all occurrences is summed before the shuffle.
+    all occurrences is summed before the shuffle.  Lowers the session's Arrow batch size
+    (``bound_batches``).
     """
     bound_batches(docs.sparkSession)
 

@@ -283,6 +283,52 @@ def test_training_helps(spark, sf_dir):
     assert sums[1] > sums[0] + 0.3
 
 
+def test_quality_fit_and_scores_equal_plain_numpy(spark, sf_dir):
+    """Ridge weights from all rows at once, calibration by the min-max formula of isotonic regression."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    stats = stage(fourier_quality.statistics(docs.repartition(7)), "stats").withColumn(
+        "y", (F.pmod(F.xxhash64("doc_id"), F.lit(100)) < 30 + 40 * (F.get("stats", F.lit(0)) > 4).cast("int")).cast("int")
+    )
+    later = F.col("doc_id") % 3 == 0
+    model = fourier_quality.fit(stats, later)
+    rows = sorted((r["doc_id"], r["stats"], r["y"]) for r in stats.collect())
+    ids, x, y = (np.array(c, np.float64) for c in zip(*rows))
+    first = ids % 3 != 0
+    mean, scale = x[first].mean(axis=0), np.maximum(x[first].std(axis=0), 1e-6)
+    z = fourier_quality.cosines(x, mean, scale)
+    gram = z[first].T @ z[first] + fourier_quality.RIDGE * first.sum() / fourier_quality.FEATURES * np.eye(z.shape[1])
+    weights = np.linalg.solve(gram, z[first].T @ y[first])
+    assert np.allclose(model.weights, weights, rtol=1e-3, atol=1e-4)
+    raw = z @ weights
+    bins = np.round(np.clip(raw[~first], fourier_quality.LOW, fourier_quality.HIGH) / fourier_quality.BIN).astype(int)
+    at, n = np.unique(bins, return_counts=True)
+    total = np.array([y[~first][bins == b].sum() for b in at])
+    best = [
+        max(min(total[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(at))) for a in range(i + 1))
+        for i in range(len(at))
+    ]
+    knots, values = [], []
+    for value in sorted(set(np.round(best, 9))):
+        own = np.isclose(best, value)
+        knots.append((at[own] * n[own]).sum() / n[own].sum() * fourier_quality.BIN)
+        values.append(value)
+    expected = np.clip(np.interp(raw, knots, values), 0, 1)
+    got = {r["doc_id"]: r["score"] for r in fourier_quality.score(stats, model).collect()}
+    difference = np.abs(np.array([got[int(d)] for d in ids]) - expected)
+    # A raw score at the edge of a bin may fall on either side of it.
+    assert np.median(difference) < 1e-3 and difference.max() < 0.05
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    """A dirty column of many values: the most frequent are learnt."""
+    monkeypatch.setattr(gru_langid, "MAX_LANGUAGES", 2)
+    texts = {"en": "the cat and the dog of the house", "de": "der Hund und das Haus ist nicht", "xx": "zzz qqq"}
+    rows = [(i, texts[l], l) for i, l in enumerate(["en", "de"] * 30 + ["xx"])]
+    rows += [(100 + i, "odd text here", f"value {i}") for i in range(20)]
+    model = gru_langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), steps=2)
+    assert model.languages == ["de", "en"]
+
+
 # --- pipeline -------------------------------------------------------------------------------
 
 
@@ -315,6 +361,24 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == want - dropped
 
 
+def test_pipeline_tells_rows_apart_by_id_and_text(spark, sf_dir):
+    """Two texts under one id are judged each for itself, copies without an id leave one row."""
+    rng = random.Random(6)
+    a, b, c = (" ".join(f"{w}{rng.randrange(10**6)}" for w in ["word"] * 60) for _ in range(3))
+    near = a.rsplit(" ", 1)[0] + " other"
+    rows = [(1, a, "s"), (2, b, "s"), (2, near, "s"), (None, c, "s"), (None, c, "t"), (None, c, None), (7, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted(
+        [(1, a), (2, b), (None, c), (7, "")], key=repr
+    )
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter(F.size(F.split("text", " ")) > 30).first()["text"]
+    rows = [(1, a, "s"), (1, item, "s"), (None, item, "s"), (None, b, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = corpus_pipeline.decontaminate(spark, docs, sf_dir).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted([(1, a), (None, b)], key=repr)
+
+
 def test_pipeline_with_odd_rows(spark, sf_dir):
     """Nulls in any column, repeats, clashing columns, and nothing at all."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)

@@ -230,7 +230,7 @@ def test_next_documents(spark, tmp_path):
 
 
 def test_next_documents_over_many_ranges(spark):
-    ids = random.Random(2).sample(range(10**6), 3000)
+    ids = [*random.Random(2).sample(range(10**6), 3000), -(2**63), 2**63 - 1, -5]
     docs = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string").repartition(40)
     got = {r["doc_id"]: r["next_id"] for r in winnowing.with_next(docs).collect()}
     ids.sort(reverse=True)
