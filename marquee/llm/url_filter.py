@@ -4,9 +4,9 @@ Keys of two kinds are listed: canonical URLs that are blocked, and rules of a
 host and a path prefix.  Every listed key sets eight bits in one block of 256;
 a URL's candidate keys are looked up in their block, and only possible hits
 go on to the exact join with the list, which removes false positives.  The
-filter's size follows the number of keys up to ``MAX_BLOCKS`` blocks (32 bytes
-each, so at most 4 MiB), which is why it can be broadcast; a longer list only
-lets more false hits through to the exact join.
+filter's size follows the number of keys, two bytes each.  Up to ``MAX_BLOCKS``
+blocks (32 bytes each, so 4 MiB) it is broadcast; that of a longer list is a
+table by block, which candidates are joined with on their block.
 """
 
 from __future__ import annotations
@@ -84,9 +84,9 @@ def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
 def possible_hits(candidates: DataFrame, key: str, bloom: DataFrame, blocks: int) -> DataFrame:
     """The candidates whose bits are all set in their block."""
     bloom = bloom.withColumnRenamed("block", "_block")
-    probed = candidates.withColumn("_block", _block(F.col(key), F.lit(blocks))).join(
-        F.broadcast(bloom), "_block"
-    )
+    if blocks <= MAX_BLOCKS:
+        bloom = F.broadcast(bloom)
+    probed = candidates.withColumn("_block", _block(F.col(key), F.lit(blocks))).join(bloom, "_block")
     hit = F.lit(True)
     for w in range(4):
         mask = _mask(F.col(key), w)
@@ -109,6 +109,9 @@ def filter_urls(
     Where none fits, the verdict is ``block`` for a URL whose canonical form is
     in ``listed`` (column ``url``, canonical), else ``allow``.
 
+    Of a host only as many of its last labels are looked at as the longest rule's host has, so a URL
+    of many labels takes time in proportion to its length.
+
     A null URL or one without ``://`` has an empty host and path and no
     candidates; it is allowed.  Every different URL is judged once; repeated rows
     get one result row each.  Null rules and listed URLs are ignored.  Other columns of ``pages``
@@ -129,10 +132,13 @@ def filter_urls(
         listed.filter("url IS NOT NULL AND url <> ''").select(F.concat(F.lit("u:"), "url").alias("key")).distinct(),
         allowMissingColumns=True,
     )
-    # One count, and the distinct lengths of rule paths: as few as the rules have.
+    # One count; the most labels of a rule's host; the distinct lengths of rule paths, no more than the longest has.
     size = keys.count()
-    lengths = sorted(r[0] for r in rules.select(F.char_length("path")).distinct().collect())
-    blocks = min(MAX_BLOCKS, max(1, -(-size * BITS_PER_KEY // BLOCK_BITS)))
+    shapes = rules.agg(
+        F.max(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.char_length("path")).alias("lengths")
+    ).first()
+    most, lengths = shapes["labels"] or 0, sorted(shapes["lengths"])
+    blocks = max(1, -(-size * BITS_PER_KEY // BLOCK_BITS))
 
     urls = (
         pages.select(F.col(url).alias("_url")).filter("_url IS NOT NULL").distinct()
@@ -144,22 +150,18 @@ def filter_urls(
     )
     labels = F.split("host", r"\.")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - (most - 1)), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
-    prefixes = F.array(
-        *(
-            F.when(F.char_length("path") >= n, F.substring(F.col("path"), 1, n))
-            for n in lengths
-        )
-    ) if lengths else F.array().cast("array<string>")
+    # One value however many lengths there are.
+    listed_lengths = F.filter(F.split(F.lit(",".join(map(str, lengths))), ","), lambda n: n != "").cast("array<int>")
+    prefixes = F.transform(
+        F.filter(listed_lengths, lambda n: n <= F.char_length("path")), lambda n: F.left("path", n)
+    )
     rule_keys = F.flatten(
         F.transform(
-            suffixes,
-            lambda s: F.transform(
-                F.filter(prefixes, lambda p: p.isNotNull()),
-                lambda p: F.concat(F.lit("r:"), s, p),
-            ),
+            suffixes if most else F.array().cast("array<string>"),
+            lambda s: F.transform(prefixes, lambda p: F.concat(F.lit("r:"), s, p)),
         )
     )
     all_keys = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(
