@@ -32,7 +32,8 @@ SHORT_MASKS = {
 SHORTEST = min(SHORT_MASKS)
 WINDOW = 13
 MIN_EQUAL = 11
-#: A seed row is about 100 bytes in memory; above this many the join is not broadcast.
+#: A seed row is about 100 bytes in memory; above this many the join is not broadcast, and the
+#: documents' seeds are shuffled without the tokens they stand in.
 BROADCAST_ROWS = 200_000
 
 
@@ -88,24 +89,26 @@ def _laid_over(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> Dat
         F.size("hashes").alias("n_item"),
         "seed",
     )
+    under = (
+        "slice(hashes, greatest(1, doc_start + 1), greatest(0, least("
+        "size(hashes) - greatest(0, doc_start), n_item - greatest(0, -doc_start))))"
+    )
+    start = (F.col("at") - F.col("item_at")).alias("doc_start")
+    found = ["row", "item_row", "doc_start"]
     if seeds.count() <= BROADCAST_ROWS:
-        seeds = F.broadcast(seeds)
-    return (
-        _seeds(docs, masks)
-        .join(seeds, "seed")
-        .select(
-            F.col("key").alias("doc"),
-            "row",
-            "item_row",
-            (F.col("at") - F.col("item_at")).alias("doc_start"),
-            F.expr(
-                "slice(hashes, greatest(1, at - item_at + 1),"
-                " greatest(0, least(size(hashes) - greatest(0, at - item_at),"
-                " n_item - greatest(0, item_at - at))))"
-            ).alias("under"),
+        hits = _seeds(docs, masks).join(F.broadcast(seeds), "seed").select("*", start)
+        return (
+            hits.select(F.col("key").alias("doc"), *found, F.expr(under).alias("under"))
+            .groupBy("doc", *found)
+            .agg(F.first("under").alias("under"))
         )
-        .groupBy("doc", "row", "item_row", "doc_start")
-        .agg(F.first("under").alias("under"))
+    # The row's number is made of the row, so that it is the same on both sides of the second join.
+    docs = docs.withColumn("row", F.xxhash64("key", "hashes"))
+    hits = (
+        _seeds(docs, masks).select("row", "at", "seed").join(seeds, "seed").select("row", "item_row", "n_item", start)
+    ).distinct()
+    return docs.dropDuplicates(["row"]).join(hits, "row").select(
+        F.col("key").alias("doc"), *found, F.expr(under).alias("under")
     )
 
 

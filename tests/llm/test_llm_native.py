@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import time
 from itertools import combinations
 
 import pytest
@@ -232,3 +234,99 @@ def test_planted_items_are_found(spark, sf_dir):
             may.add(r["doc_id"])
     got = {r["doc_id"] for r in queries.QUERIES["op8_spaced_seeds"](spark, sf_dir).collect()}
     assert must and must <= got <= may
+
+
+def overlaps_by_hand(docs, items):
+    """(doc, item, start): equal tokens, item's tokens, most equal in a window; of every alignment."""
+    found = {}
+    for d, doc in docs:
+        for i, item in items:
+            x, y = (doc or "").lower().split(), (item or "").lower().split()
+            if not x or not y:
+                continue
+            need = spaced_seeds.MIN_EQUAL if len(y) >= 13 else len(y) - 2 if len(y) >= 9 else len(y)
+            for start in range(1 - len(y), len(x)):
+                equal = [int(x[start + k] == y[k]) for k in range(len(y)) if 0 <= start + k < len(x)]
+                best = max(sum(equal[k : k + 13]) for k in range(max(1, len(equal) - 12)))
+                if best >= need:
+                    found[d, i, start] = sum(equal), len(y), best
+    return found
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_overlaps_equal_plain_python(spark, monkeypatch, broadcast):
+    """On both ways of joining, with few words so that tokens are often equal by chance."""
+    monkeypatch.setattr(spaced_seeds, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(12)
+    stock = ["a", "b", "c", "d"]
+    items = [(i, " ".join(rng.choices(stock, k=n))) for i, n in enumerate([4, 8, 9, 10, 11, 12, 13, 14, 20, 33])]
+    docs = [(i, " ".join(rng.choices(stock, k=rng.randrange(1, 90)))) for i in range(30)]
+    for i, (_, text) in enumerate(items):
+        changed = text.split()
+        for at in rng.sample(range(len(changed)), 2 * (len(changed) >= 9)):
+            changed[at] = "x"
+        docs.append((100 + i, " ".join(rng.choices(stock, k=5) + changed + rng.choices(stock, k=5))))
+    docs += [(7, docs[7][1]), (8, docs[9][1]), (200, None), (201, "")]
+    got = overlaps(spark, docs, items)
+    want = overlaps_by_hand(docs, items)
+    assert {k: (r["n_equal"], r["n_item"], r["best_window"]) for k, r in got.items()} == want
+    assert {(100 + i, i, 5) for i in range(len(items))} <= set(want)
+
+
+def test_long_benchmarks_shuffle_seeds_without_tokens(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(spaced_seeds, "BROADCAST_ROWS", 0)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        frame = queries.QUERIES["op8_spaced_seeds"](spark, sf_dir)
+        plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(limit, before)
+    below = [plan[i + 1 : i + 3] for i, line in enumerate(plan) if "Exchange hashpartitioning(seed#" in line]
+    assert below
+    for lines in below:
+        item = any(re.search(r"Project \[row#\d+L AS item_row#\d+L, at#\d+ AS item_at#\d+, size\(", x) for x in lines)
+        doc = any(re.search(r", \[row#\d+L, at#\d+\], false, \[seed#\d+L\]$", x) for x in lines)
+        assert item or doc, lines
+
+
+def test_conversation_of_many_turns(spark):
+    """One conversation of 50,000 turns, most of them of one role, ends in seconds."""
+    n = 50_000
+    rows = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 10 < 7, "assistant").otherwise("user").alias("role"),
+        F.concat(F.lit("text <| "), F.col("id")).alias("text"),
+    )
+    start = time.time()
+    made = chat_format.format_chats(rows).withColumn("turns", chat_format.read_turns(F.col("formatted")))
+    loss = chat_format.read_loss(F.col("formatted"), F.col("loss_spans"))
+    row = made.select(F.size("turns").alias("n"), loss.alias("loss"), "turns").first()
+    assert time.time() - start < 60
+    texts = [f"text <| {i}" for i in range(n)]
+    assert row["n"] == n and [t["text"] for t in row["turns"]] == texts
+    assert row["loss"] == "".join(t for i, t in enumerate(texts) if i % 10 < 7)
+
+
+def test_host_of_many_labels_and_many_rule_lengths(spark):
+    """A URL of 60,000 labels takes seconds, and so do rules of a thousand lengths."""
+    host = "a." * 60_000 + "example.net"
+    rules = [("example.net", "/", "block")] + [("b.org", "/" + "x" * i, "allow") for i in range(1, 1001)]
+    start = time.time()
+    got = judged(spark, [f"http://{host}/p", "http://b.org/" + "x" * 700 + "/y", "http://b.org/"], rules)
+    assert time.time() - start < 60
+    assert got[0] == ("example.net/", "block")
+    assert got[1] == ("b.org/" + "x" * 700, "allow") and got[2] == (None, "allow")
+
+
+def test_filter_grows_with_the_list(spark, monkeypatch):
+    """Beyond the broadcast size the filter is a table by block, of two bytes a key."""
+    monkeypatch.setattr(url_filter, "MAX_BLOCKS", 4)
+    keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key")).cache()
+    blocks = -(-4000 * url_filter.BITS_PER_KEY // url_filter.BLOCK_BITS)
+    others = spark.range(4000).select(F.concat(F.lit("other"), "id").alias("key"))
+    hits = url_filter.possible_hits(keys.union(others), "key", url_filter.bloom_blocks(keys, "key", blocks), blocks)
+    assert 4000 <= hits.count() < 4000 + 100
+    assert "broadcast" not in hits._jdf.queryExecution().analyzed().toString().lower()
