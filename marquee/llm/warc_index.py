@@ -26,6 +26,10 @@ from .common import bound_batches
 
 CRLF = "\r\n"
 RECORDS_PER_ARCHIVE = 20_000
+#: An archive's text is about this long at most (its records' mean size is what sets their number).
+ARCHIVE_BYTES = 1 << 28
+#: Index entries that a task merges, about 1 kB each in its worker.
+ENTRIES_PER_RANGE = 100_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ENTRY = (
     "run string, pos long, url_key string, captured string, page_id long, record_type string,"
@@ -109,6 +113,8 @@ def write_archives(
         F.lit(CRLF),
         "block",
     )
+    mean = rows.agg(F.avg("n")).first()[0] or 0
+    records = max(1, min(RECORDS_PER_ARCHIVE, int(ARCHIVE_BYTES / (mean + 1000))))
     (
         rows.join(shared, "digest", "left")
         .withColumns({"again": revisits & (F.col("n") >= min_bytes), "http": http})
@@ -116,7 +122,7 @@ def write_archives(
         .select(record.alias("value"))
         .write.option("lineSep", CRLF * 2)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
+        .option("maxRecordsPerFile", records)
         .text(path)
     )
 
@@ -296,7 +302,12 @@ class LoserTree:
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """All entries in global order of URL key, time and id; ``part`` and ``rank`` number them."""
+    """All entries in global order of URL key, time and id; ``part`` and ``rank`` number them.
+
+    The ranges follow the number of entries, about ``ENTRIES_PER_RANGE`` each, and a task holds the
+    slices of one range, so its memory does not grow with the index.  ``runs`` is read three times
+    (counted, sampled for the ranges, merged).
+    """
 
     def merge(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -320,7 +331,9 @@ def merge_runs(runs: DataFrame) -> DataFrame:
             )
             rank += n
 
-    return runs.repartitionByRange("url_key", "captured", "page_id").mapInArrow(
+    least = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-runs.count() // ENTRIES_PER_RANGE))
+    return runs.repartitionByRange(ranges, "url_key", "captured", "page_id").mapInArrow(
         merge, ENTRY + ", part int, rank long"
     )
 

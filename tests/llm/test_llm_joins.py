@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marquee.llm import ngram_join, projection_dedup, queries, warc_index
 from marquee.llm.graph import components
 from marquee.llm.shingles import shingle_sets, text_key
-from marquee.session import scratch_path
+from marquee.session import scratch_path, stage
 
 
 class Union:
@@ -302,6 +302,25 @@ def test_history_round_trip(spark):
     assert {(r["record_type"], r["refers_to"]) for r in by_id[None]} == {("response", None), ("revisit", 285)}
 
 
+def test_ranges_and_archives_follow_the_amount(spark, monkeypatch):
+    """More ranges than the session's partitions, archives of few records, one very long payload."""
+    monkeypatch.setattr(warc_index, "ENTRIES_PER_RANGE", 40)
+    monkeypatch.setattr(warc_index, "ARCHIVE_BYTES", 60_000)
+    rows = [(i, f"http://h{i % 7}.org/p{i % 50}", f"text {i % 90}", i) for i in range(900)]
+    rows.append((5000, "http://h3.org/p1", "long \r\n\r\n" * 400_000, 1))
+    path = scratch_path(spark, "warc")
+    warc_index.write_archives(captures(spark, rows), path)
+    runs = stage(warc_index.read_runs(spark, path), "runs")
+    assert runs.select("run").distinct().count() > 8
+    got = warc_index.merge_runs(runs).collect()
+    assert max(r["rank"] for r in got) < 400 and len({r["part"] for r in got}) > 8
+    got.sort(key=lambda r: (r["part"], r["rank"]))
+    order = [(r["url_key"], r["captured"], r["page_id"]) for r in got]
+    assert order == sorted(order) and len(got) == len(rows)
+    long = next(r for r in got if r["page_id"] == 5000)
+    assert long["payload_bytes"] == 9 * 400_000 and long["record_type"] == "response"
+
+
 def test_small_payloads_are_not_revisited(spark):
     path = scratch_path(spark, "warc")
     warc_index.write_archives(captures(spark, [(1, "u", "ab", 1), (2, "u", "ab", 1)]), path, min_bytes=3)
