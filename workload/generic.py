@@ -21,7 +21,7 @@ from marquee.operators import aggregates as agg
 from marquee.operators import columns as cols
 from marquee.operators import profile as prof
 from marquee.operators.lookup import lookup_array_dim
-from marquee.operators.setops import dedup_stored, distinct_count, union_all
+from marquee.operators.setops import dedup_rows, dedup_stored, distinct_count, union_all
 from marquee.operators.encode import topk_values
 from marquee.plans.combine import combine_feeds
 from marquee.plans.eda import age_group
@@ -356,6 +356,15 @@ def set_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     over_catalog(f"{FEEDS_SQL} SELECT {MOVIE_SQL} FROM (SELECT DISTINCT * FROM feeds)"),
 )
 def set_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(dedup_rows(union_all(staged_feeds(spark, sf_dir))))
+
+
+@register(
+    "set_dedup_stored",
+    over_catalog(f"{FEEDS_SQL} SELECT {MOVIE_SQL} FROM (SELECT DISTINCT * FROM feeds)"),
+)
+def set_dedup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by digests and places; rows are not shuffled."""
     return flat(dedup_stored(staged_feeds(spark, sf_dir)))
 
 
