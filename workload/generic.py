@@ -71,7 +71,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "pages")
-    fx.landed_pages(spark, sf_dir).write.text(path)
+    fx.landed_pages(spark, sf_dir).write.text(path, compression="gzip")
     return path
 
 
