@@ -67,3 +67,23 @@ def test_missing_labels_are_an_error(spark, parts):
     regressor = FMRegressor(featuresCol=ml.SCALED, labelCol=ml.LABEL, solver="gd", maxIter=2)
     with pytest.raises(Exception, match="NULL, NaN"):
         search(bad, parts[1], regressor, ml.param_grid(regressor, {"factorSize": [2]}), 3)
+
+
+def test_models_of_a_fold_are_scored_in_one_pass(spark, monkeypatch):
+    """Every point gets its own rmse, and points add no passes over the held rows."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    whole, calls, metrics = rows(spark).cache(), [], ml._metrics
+    monkeypatch.setattr(ml, "_metrics", lambda *a: (calls.append(a), metrics(*a))[1])
+    regressor = DecisionTreeRegressor(featuresCol=ml.SCALED, labelCol=ml.LABEL, seed=42)
+    grid = ml.param_grid(regressor, {"maxDepth": [0, 2, 4]})
+    fitted = ml.tune("tree", ml.preparation(["a", "b"]), regressor, grid, whole, whole, folds=2)
+    assert len(calls) == 2 + 1
+    fold = ml.hash_bucket("id", 2, salt="fold:")
+    for point, (_, mean) in zip(grid, fitted.search):
+        by_hand = []
+        for i in range(2):
+            chain = ml.create_pipeline(ml.preparation(["a", "b"]), regressor.copy(point))
+            held = chain.fit(whole.filter(fold != i)).transform(whole.filter(fold == i))
+            by_hand.append(ml.regression_metrics(held).first()["rmse"])
+        assert mean == pytest.approx(sum(by_hand) / 2)
