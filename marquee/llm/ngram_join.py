@@ -52,6 +52,9 @@ GROUP_BLOCK = 256
 FLUSH = 250_000
 #: A bucket should get about this many shingles or prefix entries.
 PER_BUCKET = 400_000
+#: The table of wanted ids' hashes that every task gets: bits for each text, and at most 4 MB of them.
+BITS_PER_TEXT = 8
+MAX_BITS = 1 << 25
 
 _ENTRY = np.dtype([("h", "<u8"), ("key", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -402,6 +405,24 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     )
 
 
+def _may_be_wanted(docs: DataFrame, ids: DataFrame, texts: int) -> DataFrame:
+    """All rows of ``docs`` whose doc_id is in ``ids``, and few others, found without a shuffle of them.
+
+    Ids are hashed to as many bits as the number of ``texts`` asks for, 64 of them a row of a table.
+    """
+    bits = min(MAX_BITS, 1 << max(10, (BITS_PER_TEXT * texts - 1).bit_length()))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    word = F.shiftright(slot, 6)
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(doc_id), {bits}) % 64 AS INT))")
+    table = ids.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return (
+        docs.withColumn("word", word)
+        .join(F.broadcast(table), "word")
+        .filter(F.col("bits").bitwiseAND(bit) != 0)
+        .drop("word", "bits")
+    )
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are linked."""
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
@@ -410,9 +431,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
         .join(classes, "key")
         .filter("smallest IS NOT NULL")
         .select(F.col("smallest").alias("doc_id"))
+        .distinct()
+    )
+    # Only texts that may be wanted are shuffled for the exact join; those that have no id anywhere
+    # are read whole, and the join by key below picks them.  A semi join would be moved before the first.
+    rows = (
+        _may_be_wanted(docs, ids, classes.count())
+        .join(ids, "doc_id")
+        .unionByName(docs.filter("doc_id IS NULL"))
     )
-    # Texts that have no id anywhere are read whole; the join by key below picks them.
-    rows = docs.join(ids, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -145,6 +145,32 @@ def test_links_inside_a_large_group_are_whole(spark, monkeypatch):
     assert sorted(map(tuple, links.select("a", "b").collect())) == want
 
 
+def test_only_texts_that_may_be_wanted_are_shuffled(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    docs = docs.unionByName(docs.limit(10)).unionByName(docs.select(F.lit(None).cast("long").alias("doc_id"), "text"))
+    wanted = {3, 64, 65, 127, 3999, -5, 2**62}
+    ids = spark.createDataFrame([(i,) for i in wanted], "doc_id long")
+    got = [r.doc_id for r in ngram_join._may_be_wanted(docs, ids, 4000).collect()]
+    assert len(got) < 30 and set(got) >= {3, 64, 65, 127, 3999} and got.count(3) == 2
+    assert ngram_join._may_be_wanted(docs, ids.limit(0), 0).count() == 0
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+        classes = spark.createDataFrame([(1, 3), (2, 64)], "key long, smallest long")
+        found = ngram_join._verified(docs, pairs, classes, 5, 80)
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        # The texts go through the table of bits before they are shuffled by id.
+        first = next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        above = [line for line in plan[:first] if depth(line) < depth(plan[first])]
+        assert any("Exchange hashpartitioning(doc_id" in line for line in above)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_join_of_nothing(spark):
     assert joined(spark, []) == []
 
