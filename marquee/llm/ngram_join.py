@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-from .common import bound_batches, give_back
+from .common import bit_table, bits_for, bound_batches, give_back, marked
 from .graph import components
 from .shingles import SHINGLE, shingle_sets, text_key
 
@@ -52,9 +52,6 @@ GROUP_BLOCK = 256
 FLUSH = 250_000
 #: A bucket should get about this many shingles or prefix entries.
 PER_BUCKET = 400_000
-#: The table of wanted ids' hashes that every task gets: bits for each text, and at most 4 MB of them.
-BITS_PER_TEXT = 8
-MAX_BITS = 1 << 25
 
 _ENTRY = np.dtype([("h", "<u8"), ("key", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -408,19 +405,10 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
 def _may_be_wanted(docs: DataFrame, ids: DataFrame, texts: int) -> DataFrame:
     """All rows of ``docs`` whose doc_id is in ``ids``, and few others, found without a shuffle of them.
 
-    Ids are hashed to as many bits as the number of ``texts`` asks for, 64 of them a row of a table.
+    Ids are hashed to as many bits as the number of ``texts`` asks for.
     """
-    bits = min(MAX_BITS, 1 << max(10, (BITS_PER_TEXT * texts - 1).bit_length()))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    word = F.shiftright(slot, 6)
-    bit = F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(doc_id), {bits}) % 64 AS INT))")
-    table = ids.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    return (
-        docs.withColumn("word", word)
-        .join(F.broadcast(table), "word")
-        .filter(F.col("bits").bitwiseAND(bit) != 0)
-        .drop("word", "bits")
-    )
+    bits = bits_for(texts)
+    return marked(docs, "doc_id", bit_table(ids, "doc_id", bits), bits)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from marquee.llm import attention_lm, fourier_quality, gru_langid, harmonic_packing, queries
+from marquee.llm.common import bit_table, bits_for, marked
 from marquee.llm.subwords import Subwords
 from marquee.session import stage
 
@@ -379,6 +380,37 @@ def test_pipeline_tells_rows_apart_by_id_and_text(spark, sf_dir):
     assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted([(1, a), (None, b)], key=repr)
 
 
+def test_near_copies_are_dropped_without_a_shuffle_of_the_others(spark, sf_dir):
+    """However many rows stay, only those that share a bit with a row that goes are moved."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(600)]
+    near = [f"{t} more" for t in texts[:40]]
+    rows = [(i, t, "s") for i, t in enumerate([*texts, *near, texts[50], "", None])]
+    # Copies without an id, one row twice, and names the tables of bits use as well.
+    rows += [(None, texts[60], "s"), (None, texts[60], "t"), (599, texts[599], "u"), (None, None, "s"), (None, None, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bits string").withColumn("word", F.lit(1))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        left = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr)
+    finally:
+        spark.conf.set(key, before)
+    want = [*enumerate(texts), (641, ""), (642, None), (None, None)]
+    assert left.columns == docs.columns and got == sorted(want, key=repr)
+    # The rows that stay for certain come first, and no exchange but that of the bits is below.
+    sure = plan[plan.index("Union") :].split("BroadcastHashJoin")[1]
+    assert "LeftAnti" in sure and " Exchange " not in sure.split("+- Project")[0]
+    moved = [x for x in plan.splitlines() if " Exchange " in x and "number" in x]
+    assert moved and "LeftSemi" in plan
+    table = bit_table(docs.filter("doc_id < 40"), "doc_id", bits_for(600))
+    may, others = (marked(docs, "doc_id", table, bits_for(600), how) for how in ("left_semi", "left_anti"))
+    assert may.count() + others.count() == docs.count()
+    assert may.filter("doc_id < 40").count() == 40 and may.count() < 150
+
+
 def test_pipeline_with_odd_rows(spark, sf_dir):
     """Nulls in any column, repeats, clashing columns, and nothing at all."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
