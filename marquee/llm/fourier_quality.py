@@ -60,6 +60,10 @@ def text_statistics(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def _texts(column) -> list[bytes]:
+    return [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in column]
+
+
 def statistics(
     docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), to: str = "stats"
 ) -> DataFrame:
@@ -78,10 +82,7 @@ def statistics(
         import pyarrow as pa
 
         for batch in batches:
-            texts = [
-                t.as_buffer().to_pybytes() if t.is_valid else b""
-                for t in batch.column(batch.num_columns - 1)
-            ]
+            texts = _texts(batch.column(batch.num_columns - 1))
             flat = pa.array(text_statistics(texts).ravel(), pa.float32())
             ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * N)
             column = pa.ListArray.from_arrays(
@@ -225,8 +226,12 @@ def score(
     stats: str = "stats",
     carry: tuple[str, ...] = ("doc_id",),
     to: str = "score",
+    text: str | None = None,
 ) -> DataFrame:
-    """The columns ``carry`` and ``to``: the calibrated chance of label 1; 0.5 without a model."""
+    """The columns ``carry`` and ``to``: the calibrated chance of label 1; 0.5 without a model.
+
+    With ``text`` the statistics are those of that column, made in the same task and worker.
+    """
     kept = rows.select(*carry)
     schema = T.StructType([*kept.schema, T.StructField(to, T.DoubleType())])
     names = schema.names
@@ -236,7 +241,16 @@ def score(
 
         for batch in batches:
             x = batch.select([batch.num_columns - 1])
-            values = np.full(len(batch), 0.5) if model is None else model(_matrix(x))
+            if model is None:
+                values = np.full(len(batch), 0.5)
+            else:
+                # As exact as statistics that are kept as floats.
+                x = _matrix(x) if text is None else text_statistics(_texts(x.column(0))).astype(np.float32)
+                values = model(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=names)
+        if text is not None:
+            give_back()
 
-    return rows.select(*carry, F.col(stats).alias("_stats")).mapInArrow(work, schema)
+    bound_batches(rows.sparkSession)
+    source = stats if text is None else text
+    return rows.select(*carry, F.col(source).alias("_stats")).mapInArrow(work, schema)

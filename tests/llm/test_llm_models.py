@@ -380,6 +380,21 @@ def test_pipeline_tells_rows_apart_by_id_and_text(spark, sf_dir):
     assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted([(1, a), (None, b)], key=repr)
 
 
+def test_quality_is_judged_by_one_worker_a_task(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(200)
+    kept = corpus_pipeline.judge_quality(spark, docs.unionByName(docs.limit(3).withColumn("text", F.lit(None))), sf_dir)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    rng = np.random.default_rng(3)
+    model = fourier_quality.Quality(
+        np.full(fourier_quality.N, 0.2), np.ones(fourier_quality.N), rng.normal(size=fourier_quality.FEATURES + 1),
+        np.array([-3.0, 3.0]), np.array([0.0, 1.0]),
+    )
+    docs = docs.select("doc_id", F.when(F.col("doc_id") % 9 != 0, F.col("text")).alias("text"))
+    apart = fourier_quality.score(fourier_quality.statistics(docs), model)
+    at_once = fourier_quality.score(docs, model, text="text")
+    assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, apart.collect()))
+
+
 def test_near_copies_are_dropped_without_a_shuffle_of_the_others(spark, sf_dir):
     """However many rows stay, only those that share a bit with a row that goes are moved."""
     rng = random.Random(8)
