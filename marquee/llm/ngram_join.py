@@ -52,6 +52,10 @@ GROUP_BLOCK = 256
 FLUSH = 250_000
 #: A bucket should get about this many shingles or prefix entries.
 PER_BUCKET = 400_000
+#: Buckets a task works on one after another, of shingles and of prefix entries: about 16 MB read.  Each
+#: task writes a file, for which a JVM without Hadoop's native library starts processes.
+SHINGLE_BUCKETS = 8
+PREFIX_BUCKETS = 2
 
 _ENTRY = np.dtype([("h", "<u8"), ("key", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -66,6 +70,11 @@ def _parts(s: np.ndarray) -> int:
     return int(sum(int(v) << (15 * i) for i, v in enumerate(sizes)))
 
 
+def _tasks(buckets: int, each: int) -> int:
+    """How many tasks share the buckets; with few buckets each has its own."""
+    return max(min(16, buckets), -(-buckets // each))
+
+
 def _first(bucket: int, buckets: int) -> int:
     """The least hash of a bucket; buckets are equal ranges of hashes."""
     return bucket * ((1 << 64) // buckets + 1)
@@ -211,7 +220,8 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
     spark = docs.sparkSession
     bound_batches(spark)
     sent = docs.mapInArrow(scan, "bucket int, docs binary, ones binary, many binary, counts binary")
-    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+    tasks = _tasks(buckets, SHINGLE_BUCKETS)
+    return sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         merge, "kind int, doc_id long, a long, n long, parts long"
     )
 
@@ -344,7 +354,7 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
 
     return (
         docs.mapInArrow(scan, "bucket int, entries binary")
-        .repartition(buckets, "bucket")
+        .repartition(_tasks(buckets, PREFIX_BUCKETS), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(meet, "kind int, a long, b long, n long, pos long")
     )

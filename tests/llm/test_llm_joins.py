@@ -171,6 +171,33 @@ def test_only_texts_that_may_be_wanted_are_shuffled(spark):
         spark.conf.set(key, before)
 
 
+def test_tasks_share_buckets(spark, monkeypatch):
+    """With many buckets few tasks, and so few files, and each bucket is whole in one of them."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=4))
+    base, rows = [word() for _ in range(60)], [(1000, "a b c"), (1001, None), (None, "x y z")]
+    for i in range(90):
+        copy = list(base)
+        copy[rng.randrange(60)] = word()
+        rows.append((i, " ".join(copy if i % 3 else [word() for _ in range(40)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = ngram_join._profile(docs, 5, 200).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in found}) <= 25
+    counts = {}
+    for s in shingle_sets([(t or "").encode() for _, t in rows]):
+        for h in (s >> np.uint64(20)).tolist():
+            counts[h] = counts.get(h, 0) + 1
+    want = {h: n for h, n in counts.items() if n > ngram_join.RARE}
+    assert len(want) > 40 and {r.a: r.n for r in found if r.kind == 1} == want
+    assert sum(r.kind == 1 for r in found) == len(want) and sum(r.kind == 0 for r in found) == len(rows)
+
+    often = np.empty(0, np.uint64), np.empty(0, np.int64)
+    met = ngram_join._prefix_pairs(docs, often, 5, 200, 80).withColumn("task", F.spark_partition_id())
+    assert 0 < len({r.task for r in met.collect()}) <= 100
+    monkeypatch.setattr(ngram_join, "PER_BUCKET", 25)
+    assert joined(spark, rows) == brute_members(rows)
+
+
 def test_join_of_nothing(spark):
     assert joined(spark, []) == []
 
