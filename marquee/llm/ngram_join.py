@@ -57,6 +57,8 @@ PER_BUCKET = 400_000
 SHINGLE_BUCKETS = 8
 PREFIX_BUCKETS = 2
 
+#: An odd factor: among rare shingles a prefix has the least hashes, which would crowd the first buckets.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _ENTRY = np.dtype([("h", "<u8"), ("key", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
 
@@ -290,7 +292,7 @@ def _prefix_pairs(docs: DataFrame, frequent, size: int, buckets: int, percent: i
                         weight[hit] = df[at[hit]]
                         s = s[np.argsort(weight, kind="stable")]
                 e = np.empty(take, _ENTRY)
-                e["h"], e["key"], e["n"], e["pos"] = s[:take], key, n, np.arange(take)
+                e["h"], e["key"], e["n"], e["pos"] = s[:take] * _SPREAD, key, n, np.arange(take)
                 held.append(e)
                 amount += take
             if amount >= FLUSH:

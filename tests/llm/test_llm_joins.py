@@ -198,6 +198,24 @@ def test_tasks_share_buckets(spark, monkeypatch):
     assert joined(spark, rows) == brute_members(rows)
 
 
+def test_prefixes_spread_over_buckets(spark, monkeypatch):
+    """Prefixes have the least hashes of their texts; their buckets are even all the same."""
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijkl", k=5)) for _ in range(200))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    seen = []
+    often = np.empty(0, np.uint64), np.empty(0, np.int64)
+    plain = type(docs).repartition
+    monkeypatch.setattr(type(docs), "repartition", lambda df, *a: seen.append(df) or plain(df, *a))
+    ngram_join._prefix_pairs(docs, often, 5, 16, 80)
+    sizes = {}
+    for r in seen[-1].collect():
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + len(r.entries) // ngram_join._ENTRY.itemsize
+    take = 196 - -(-80 * 196 // 100) + 1
+    assert sum(sizes.values()) == 60 * take and len(sizes) == 16
+    assert max(sizes.values()) < 2 * 60 * take / 16
+
+
 def test_join_of_nothing(spark):
     assert joined(spark, []) == []
 
