@@ -87,3 +87,21 @@ def test_models_of_a_fold_are_scored_in_one_pass(spark, monkeypatch):
             held = chain.fit(whole.filter(fold != i)).transform(whole.filter(fold == i))
             by_hand.append(ml.regression_metrics(held).first()["rmse"])
         assert mean == pytest.approx(sum(by_hand) / 2)
+
+
+@pytest.mark.parametrize("settings", [{}, {"regParam": 0.01, "fitLinear": False}, {"tol": 0.02, "maxIter": 60}])
+def test_adaptive_steps_equal_the_library(spark, parts, settings):
+    """The library's default solver, whose every step sees all rows too."""
+    base = {"maxIter": 30, "seed": 42, **settings}
+    regressor = FMRegressor(featuresCol=ml.SCALED, labelCol=ml.LABEL, **base)
+    grid = ml.param_grid(regressor, {"stepSize": [0.001, 0.1], "factorSize": [2, 5]})
+    assert machines.full_batch(regressor, grid)
+    want = [
+        ml.regression_metrics(regressor.copy(point).fit(parts[0]).transform(parts[1])).first()["rmse"] for point in grid
+    ]
+    assert search(*parts, regressor, grid, machines.width(parts[0], ml.SCALED)) == pytest.approx(want, rel=1e-8)
+
+
+def test_mini_batches_are_left_to_the_library(spark):
+    regressor = FMRegressor(featuresCol=ml.SCALED, labelCol=ml.LABEL)
+    assert not machines.full_batch(regressor, ml.param_grid(regressor, {"miniBatchFraction": [0.5]}))

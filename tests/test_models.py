@@ -234,3 +234,34 @@ def test_tune_raises_where_every_point_diverges(data, monkeypatch):
     with pytest.raises(ArithmeticError, match="tree"):
         ml.tune("tree", ml.preparation(["vote_count"]), regressor,
                 ml.param_grid(regressor, {"maxDepth": [1]}), train, test, folds=2)
+
+
+WHOLE = ["fm"]
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_whole_searches_leave_nothing_out(spark, monkeypatch, name):
+    """All features, the regressor as the library has it, the whole grid."""
+    from workload.registry import QUERIES
+
+    class Called(Exception):
+        pass
+
+    def tune(name, stages, regressor, grid, train, test, folds=3, **_):
+        raise Called(stages, regressor, grid, folds)
+
+    monkeypatch.setattr(ml, "tune", tune)
+    with pytest.raises(Called) as got:
+        QUERIES[f"tune_{name}"](spark, "/root/testdata/sf0.001")
+    stages, regressor, grid, folds = got.value.args
+    inputs = next(s for s in stages if s.hasParam("inputCols") and s.isDefined("inputCols")).getInputCols()
+    assert set(ml.NUMERIC_FEATURES) < set(inputs) and any(c.startswith("genre_") for c in inputs)
+    assert {"other_genre_names", "other_original_language"} < set(inputs)
+    plain = ml.regressors()[name]
+    assert {p.name: v for p, v in regressor.extractParamMap().items()} == {
+        p.name: v for p, v in plain.extractParamMap().items()
+    }
+    values, n = ml.GRIDS[name]
+    assert (len(grid), folds) == (len(ml.param_grid(plain, values)), n)
+    for key, listed in values.items():
+        assert {v for point in grid for p, v in point.items() if p.name == key} == set(listed)
