@@ -236,7 +236,7 @@ def test_tune_raises_where_every_point_diverges(data, monkeypatch):
                 ml.param_grid(regressor, {"maxDepth": [1]}), train, test, folds=2)
 
 
-WHOLE = ["fm"]
+WHOLE = ["fm", "tree"]
 
 
 @pytest.mark.parametrize("name", WHOLE)
